@@ -46,17 +46,18 @@ def rebuilt(spark, sf_dir, small: bool = False) -> Sharded:
     return O.rebuild_hidden(series(spark, sf_dir, small))
 
 
-def rounded(*names: str, places: int = 6) -> list:
-    return [F.round(n, places).alias(n) for n in names]
+def rounded(*names: str, places: int = 6) -> list[str]:
+    """SQL text of rounded columns, for ``selectExpr``."""
+    return [f"round({n}, {places}) AS {n}" for n in names]
 
 
-def off_tie(name: str):
+def off_tie(name: str) -> str:
     """Rounded with a small shift.
 
     Means of microsecond times often end exactly half-way between two rounded
     values, where the engines' last bits decide; the shift moves them off.
     """
-    return F.round(F.col(name) + 3e-8, 6).alias(name)
+    return f"round({name} + 3e-8, 6) AS {name}"
 
 
 # ---- Sources, layers -----------------------------------------------------
@@ -194,7 +195,7 @@ def _gold_report(gold: DataFrame) -> DataFrame:
         *[K.acceleration(r, j) for r in K.ROBOTS for j in K.JOINTS],
         *[f"{K.load(r)}_{s}" for r in K.ROBOTS for s in ("MA10", "MA60", "Std10")],
     ]
-    return gold.select(
+    return gold.selectExpr(
         *KEYS,
         K.TRANSIT,
         *rounded(*features),
@@ -226,7 +227,7 @@ def load_gold(spark, sf_dir):
     layers.write_layer(timed.where(F.col("t_us").isNotNull()), path, ("line_id", "t_us"))
     gold = layers.load_gold(spark, path)
     with_dt = O.add_dt(shard(gold), first=0.1, zero_as=None).df
-    return with_dt.select(*KEYS, "timestamp", *rounded("dt"))
+    return with_dt.selectExpr(*KEYS, "timestamp", *rounded("dt"))
 
 
 # ---- Ordered operators ---------------------------------------------------
@@ -312,19 +313,19 @@ _CHANGES = [K.acceleration(r, j) for r in K.ROBOTS for j in K.JOINTS]
 @query
 def joint_velocity(spark, sf_dir):
     moved = O.add_motion(series(spark, sf_dir), change=False)
-    return moved.df.select(*KEYS, *rounded(*_SPEEDS))
+    return moved.df.selectExpr(*KEYS, *rounded(*_SPEEDS))
 
 
 @query
 def joint_acceleration(spark, sf_dir):
     moved = O.add_motion(series(spark, sf_dir), speed=False)
-    return moved.df.select(*KEYS, *rounded(*_CHANGES))
+    return moved.df.selectExpr(*KEYS, *rounded(*_CHANGES))
 
 
 @query
 def joint_acceleration_sharded(spark, sf_dir):
     moved = O.add_motion(series(spark, sf_dir, small=True), speed=False)
-    return moved.df.select(*KEYS, *rounded(*_CHANGES))
+    return moved.df.selectExpr(*KEYS, *rounded(*_CHANGES))
 
 
 def _load_names(suffix: str) -> dict[str, str]:
@@ -334,7 +335,7 @@ def _load_names(suffix: str) -> dict[str, str]:
 def _means(sharded, rows, suffix, extra=False):
     names = _load_names(suffix)
     rolled = O.add_rolling_mean(sharded, rows, names, include_extra=extra)
-    return rolled.df.select(*KEYS, *rounded(*names.values()))
+    return rolled.df.selectExpr(*KEYS, *rounded(*names.values()))
 
 
 @query
@@ -365,7 +366,7 @@ def rolling_mean60_sharded(spark, sf_dir):
 def _deviations(sharded, extra=False):
     names = _load_names("Std10")
     rolled = O.add_rolling_deviation(sharded, K.MEAN_SHORT, names, include_extra=extra)
-    return rolled.df.select(*KEYS, *rounded(*names.values()))
+    return rolled.df.selectExpr(*KEYS, *rounded(*names.values()))
 
 
 @query
@@ -382,7 +383,7 @@ def _transit_mean(spark, sf_dir, extra):
     timed = O.add_transit(series(spark, sf_dir))
     names = {K.TRANSIT: K.TRANSIT_MA50}
     rolled = O.add_rolling_mean(timed, K.TRANSIT_MEAN, names, include_extra=extra)
-    return rolled.df.select(*KEYS, off_tie(K.TRANSIT_MA50))
+    return rolled.df.selectExpr(*KEYS, off_tie(K.TRANSIT_MA50))
 
 
 @query
@@ -520,7 +521,7 @@ def _scored(spark, sf_dir):
 @query
 def robot_health(spark, sf_dir):
     names = [f"{r}_health" for r in K.ROBOTS]
-    return _scored(spark, sf_dir).select(*KEYS, *rounded(*names))
+    return _scored(spark, sf_dir).selectExpr(*KEYS, *rounded(*names))
 
 
 def _drives(spark, sf_dir):
@@ -530,7 +531,7 @@ def _drives(spark, sf_dir):
 
 @query
 def vfd_health(spark, sf_dir):
-    return _drives(spark, sf_dir).select(*KEYS, *rounded(*[f"VFD{d}_health" for d in K.DRIVES]))
+    return _drives(spark, sf_dir).selectExpr(*KEYS, *rounded(*[f"VFD{d}_health" for d in K.DRIVES]))
 
 
 @query
@@ -548,7 +549,7 @@ def scenario_overlay(spark, sf_dir):
         {K.LABEL: C.defect_label(), K.BOTTLENECK: C.bottleneck()}
     )
     shown = status.drive_scores(status.scenario_overlay(row))
-    return shown.select(
+    return shown.selectExpr(
         *KEYS,
         "scenario",
         K.temperature(1),
@@ -595,14 +596,14 @@ def _kpis(spark, sf_dir) -> DataFrame:
 def kpi_oee(spark, sf_dir):
     rates = rounded("availability", "performance", "quality", "oee")
     kpis = kpi.line_kpis(series(spark, sf_dir))
-    return kpis.select("line_id", "cycles", "defect_cycles", *rates)
+    return kpis.selectExpr("line_id", "cycles", "defect_cycles", *rates)
 
 
 @query
 def kpi_oee_sharded(spark, sf_dir):
     rates = rounded("availability", "performance", "quality", "oee")
     kpis = kpi.line_kpis(series(spark, sf_dir, small=True))
-    return kpis.select("line_id", "cycles", "defect_cycles", *rates)
+    return kpis.selectExpr("line_id", "cycles", "defect_cycles", *rates)
 
 
 @query
@@ -610,26 +611,26 @@ def kpi_oee_as_of(spark, sf_dir):
     """OEE as of an instant; the filter runs before anything is ordered."""
     rates = rounded("availability", "performance", "quality", "oee")
     rows = O.up_to_time(tel(spark, sf_dir), AS_OF_US)
-    return kpi.line_kpis(shard(rows)).select("line_id", "cycles", "defect_cycles", *rates)
+    return kpi.line_kpis(shard(rows)).selectExpr("line_id", "cycles", "defect_cycles", *rates)
 
 
 @query
 def kpi_availability(spark, sf_dir):
-    return kpi.line_kpis(series(spark, sf_dir)).select(
+    return kpi.line_kpis(series(spark, sf_dir)).selectExpr(
         "line_id", *rounded("elapsed_s", "operating_s", "availability")
     )
 
 
 @query
 def kpi_downtime(spark, sf_dir):
-    return kpi.line_kpis(series(spark, sf_dir)).select(
+    return kpi.line_kpis(series(spark, sf_dir)).selectExpr(
         "line_id", *rounded("estop_s", "door1_s", "door2_s", "downtime_s")
     )
 
 
 @query
 def kpi_performance(spark, sf_dir):
-    return kpi.line_kpis(series(spark, sf_dir)).select(
+    return kpi.line_kpis(series(spark, sf_dir)).selectExpr(
         "line_id", "cycles", *rounded("performance_ratio", "performance")
     )
 
@@ -641,7 +642,7 @@ def kpi_defect_cycles(spark, sf_dir):
 
 @query
 def kpi_quality(spark, sf_dir):
-    return kpi.line_kpis(series(spark, sf_dir)).select(
+    return kpi.line_kpis(series(spark, sf_dir)).selectExpr(
         "line_id", *rounded("quality_ratio", "quality", "yield_pct")
     )
 
@@ -649,12 +650,12 @@ def kpi_quality(spark, sf_dir):
 @query
 def downtime_breakdown(spark, sf_dir):
     rows = kpi.downtime_breakdown(kpi.line_kpis(series(spark, sf_dir)))
-    return rows.select("line_id", "state", *rounded("seconds"))
+    return rows.selectExpr("line_id", "state", *rounded("seconds"))
 
 
 @query
 def kpi_avg_transit(spark, sf_dir):
-    return _kpis(spark, sf_dir).select("line_id", off_tie("avg_transit_s"))
+    return _kpis(spark, sf_dir).selectExpr("line_id", off_tie("avg_transit_s"))
 
 
 @query
@@ -665,24 +666,24 @@ def label_distribution(spark, sf_dir):
 
 @query
 def esg_energy(spark, sf_dir):
-    return _kpis(spark, sf_dir).select("line_id", *rounded("saved_kwh"))
+    return _kpis(spark, sf_dir).selectExpr("line_id", *rounded("saved_kwh"))
 
 
 @query
 def esg_current_power(spark, sf_dir):
-    return _kpis(spark, sf_dir).select("line_id", *rounded("draw_kw", "saving_kw"))
+    return _kpis(spark, sf_dir).selectExpr("line_id", *rounded("draw_kw", "saving_kw"))
 
 
 @query
 def esg_carbon(spark, sf_dir):
     names = ("carbon_drives_kg", "carbon_scrap_kg", "scrap_lbs", "carbon_total_kg")
-    return _kpis(spark, sf_dir).select("line_id", *rounded(*names))
+    return _kpis(spark, sf_dir).selectExpr("line_id", *rounded(*names))
 
 
 @query
 def esg_carbon_shares(spark, sf_dir):
     shares = kpi.carbon_shares(_kpis(spark, sf_dir))
-    return shares.select("line_id", "part", *rounded("kg_co2e"))
+    return shares.selectExpr("line_id", "part", *rounded("kg_co2e"))
 
 
 _RUNNING = (
@@ -698,13 +699,13 @@ _RUNNING = (
 @query
 def running_oee(spark, sf_dir):
     rows = kpi.running_oee(series(spark, sf_dir))
-    return rows.select(*KEYS, "cycles", "defect_cycles", *rounded(*_RUNNING))
+    return rows.selectExpr(*KEYS, "cycles", "defect_cycles", *rounded(*_RUNNING))
 
 
 @query
 def running_oee_sharded(spark, sf_dir):
     rows = kpi.running_oee(series(spark, sf_dir, small=True))
-    return rows.select(*KEYS, "cycles", "defect_cycles", *rounded(*_RUNNING))
+    return rows.selectExpr(*KEYS, "cycles", "defect_cycles", *rounded(*_RUNNING))
 
 
 @query
@@ -712,14 +713,14 @@ def running_energy(spark, sf_dir):
     sharded = series(spark, sf_dir)
     hidden = sharded.df.withColumn(K.temperature(2), C.interpolated_drive2())
     rows = kpi.running_energy(sharded.with_df(hidden))
-    return rows.select(*KEYS, *rounded("draw_kw", "saved_kwh", "carbon_drives_kg"))
+    return rows.selectExpr(*KEYS, *rounded("draw_kw", "saved_kwh", "carbon_drives_kg"))
 
 
 @query
 def rule_alerts(spark, sf_dir):
     """Line rules on the KPIs, machine rules on the as-of row."""
     keys = ["line_id"]
-    lines = kpi.line_kpis(series(spark, sf_dir)).select(
+    lines = kpi.line_kpis(series(spark, sf_dir)).selectExpr(
         "line_id", *rounded("availability", "performance", "quality")
     )
     row = O.at_index(
@@ -742,7 +743,7 @@ def rule_alerts(spark, sf_dir):
 def transit_forecast(spark, sf_dir):
     timed = O.add_transit(series(spark, sf_dir)).df
     rows = forecast.transit_forecast(timed)
-    return rows.select("line_id", "step", *rounded("last_transit_s", "forecast_s"))
+    return rows.selectExpr("line_id", "step", *rounded("last_transit_s", "forecast_s"))
 
 
 # ---- Learning ------------------------------------------------------------
@@ -752,7 +753,7 @@ def transit_forecast(spark, sf_dir):
 def classification_report(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = evaluate.classification_report(labels, "quality", "toxic")
-    return rows.select("class_name", *rounded("precision", "recall", "f1"), "support")
+    return rows.selectExpr("class_name", *rounded("precision", "recall", "f1"), "support")
 
 
 @query
@@ -824,7 +825,7 @@ def stream_transit(spark, sf_dir):
     df = tel(spark, sf_dir).select(*KEYS, "t_us", K.STOPPER1, K.STOPPER3)
     out = scratch(spark, "transit")
     rows = live.run_transit(_stream_source(spark, df), out)
-    return rows.select(*KEYS, *rounded("dt"), K.TRANSIT)
+    return rows.selectExpr(*KEYS, *rounded("dt"), K.TRANSIT)
 
 
 @query
@@ -850,9 +851,9 @@ def stream_downtime(spark, sf_dir):
     result = windows.windowed_kpis(stream, unique=["event_id"])
     rows = windows.run_append(result, scratch(spark, "windows"))
     sums = ("elapsed_s", "estop_s", "door1_s", "door2_s", "downtime_s", "saved_kwh")
-    return rows.select(
+    return rows.selectExpr(
         "line_id",
-        F.unix_micros("window_start").alias("window_start_us"),
+        "unix_micros(window_start) AS window_start_us",
         "n_rows",
         *rounded(*sums),
     )

@@ -7,18 +7,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace import constants as K
 
 
-def number(column: str) -> Column:
-    """Text or number to double; unreadable values and NaN become NULL."""
-    return F.nanvl(F.col(f"`{column}`").try_cast("double"), F.lit(None).cast("double"))
+def with_exprs(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    """Add or replace columns given as SQL text, in one projection.
+
+    For steps that make dozens of alike columns: text reaches the JVM in one
+    call, ``Column`` objects need several calls each.
+    """
+    kept = [f"`{c}`" for c in df.columns if c not in exprs]
+    return df.selectExpr(*kept, *[f"{e} AS `{n}`" for n, e in exprs.items()])
+
+
+def number(column: str) -> str:
+    """SQL: text or number to double; unreadable values and NaN become NULL."""
+    return f"nanvl(try_cast(`{column}` AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
 def coerce_numeric(df: DataFrame, keep: tuple[str, ...] = K.TEXT_COLUMNS) -> DataFrame:
     """Turn every column outside ``keep`` into a double, in one projection."""
-    return df.select(
-        *[
-            F.col(f"`{c}`") if c in keep else number(c).alias(c)
-            for c in df.columns
-        ]
+    return df.selectExpr(
+        *[f"`{c}`" if c in keep else f"{number(c)} AS `{c}`" for c in df.columns]
     )
 
 
@@ -41,15 +48,12 @@ def is_zero(column: str) -> Column:
 def parse_time(text: Column) -> Column:
     """Instant from ISO text with or without milliseconds.
 
-    The zone letter is parsed, so the result does not follow the session zone.
-    Other ISO forms (microseconds, a blank instead of T) are tried last;
-    unreadable text gives NULL.
+    One cast reads every accepted form, also microseconds or a blank instead
+    of T, and honours the zone letter, so the result does not follow the
+    session zone. Unreadable text gives NULL. Trying explicit patterns one
+    after another costs an exception per miss.
     """
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssX")),
-        F.try_to_timestamp(text),
-    )
+    return text.try_cast("timestamp")
 
 
 def downtime() -> Column:

@@ -9,7 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace import constants as K
-from millrace.functions.columns import bottleneck, defect_label, interpolated_drive2
+from millrace.functions.columns import (
+    bottleneck,
+    defect_label,
+    interpolated_drive2,
+    with_exprs,
+)
 from millrace.operators.shards import (
     HALO,
     SHARD,
@@ -168,47 +173,59 @@ def add_index(sharded: Sharded, name: str = "idx") -> Sharded:
     return sharded.with_df(rows.withColumn(name, index).drop("_before"))
 
 
-def _over_halo(sharded: Sharded, rows: int, columns: dict[str, Column]) -> Sharded:
-    df = with_halo(sharded, rows).withColumns(columns)
-    return sharded.with_df(df.where(~F.col(HALO)).drop(HALO))
+def _over_halo(
+    sharded: Sharded, rows: int, windowed: dict[str, str], *then: dict[str, str]
+) -> Sharded:
+    """Window columns over rows with their halo, then plain columns on top.
+
+    Each window function is named once and referred to afterwards; written
+    inline it would be evaluated once per mention. Helpers start with ``_``.
+    """
+    df = with_exprs(with_halo(sharded, rows), windowed)
+    df = df.where(~F.col(HALO)).drop(HALO)
+    for columns in then:
+        df = with_exprs(df, columns)
+    helpers = [c for columns in (windowed, *then) for c in columns if c.startswith("_")]
+    return sharded.with_df(df.drop(*helpers))
 
 
 def _motion(sharded: Sharded, robots, joints, speed=True, change=True):
     """Velocity and acceleration from the angles and times of two rows back.
 
     Acceleration is the change of the unfilled velocity, so a line's first two
-    rows give 0. Everything comes from plain lags: one window operator.
+    rows give 0. Everything comes from plain lags: one window operator, then
+    three steps of arithmetic.
     """
-    w = sharded.window()
-    time = F.col(sharded.series.time)
+    over, time = sharded.over(), sharded.series.time
+    names = [(K.angle(r, j), r, j) for r in robots for j in joints]
+    lags = (1, 2) if change else (1,)
+    windowed = {f"_t{n}": f"lag({time}, {n}) {over}" for n in lags}
+    windowed |= {f"_{x}_{n}": f"lag({x}, {n}) {over}" for x, _, _ in names for n in lags}
 
-    def seconds(later: Column, earlier: Column) -> Column:
-        gap = F.coalesce((later - earlier) / 1e6, F.lit(1.0))
-        return F.when(gap == 0.0, 1.0).otherwise(gap)
+    def seconds(later: str, earlier: str) -> str:
+        gap = f"{later} - {earlier}"
+        return f"CASE WHEN {gap} IS NULL OR {gap} = 0 THEN 1D ELSE ({gap}) / 1e6 END"
 
-    t1, t2 = F.lag(time, 1).over(w), F.lag(time, 2).over(w)
-    dt, dt1 = seconds(time, t1), seconds(t1, t2)
-    columns = {}
-    for r in robots:
-        for j in joints:
-            x = F.col(K.angle(r, j))
-            x1, x2 = F.lag(x, 1).over(w), F.lag(x, 2).over(w)
-            v = (x - x1) / dt
-            if speed:
-                columns[K.velocity(r, j)] = F.coalesce(v, F.lit(0.0))
-            if change:
-                a = (v - (x1 - x2) / dt1) / dt
-                columns[K.acceleration(r, j)] = F.coalesce(a, F.lit(0.0))
-    return columns
+    gaps = {"_dt1": seconds(time, "_t1")}
+    speeds = {f"_v_{x}": f"({x} - _{x}_1) / _dt1" for x, _, _ in names}
+    result = {}
+    if change:
+        gaps["_dt2"] = seconds("_t1", "_t2")
+        for x, r, j in names:
+            result[K.acceleration(r, j)] = (
+                f"coalesce((_v_{x} - (_{x}_1 - _{x}_2) / _dt2) / _dt1, 0D)"
+            )
+    if speed:
+        result |= {K.velocity(r, j): f"coalesce(_v_{x}, 0D)" for x, r, j in names}
+    return windowed, gaps, speeds, result
 
 
-def _mean(sharded: Sharded, column: str, rows: int) -> Column:
-    return F.avg(column).over(sharded.window().rowsBetween(1 - rows, 0))
+def _mean(sharded: Sharded, column: str, rows: int) -> str:
+    return f"avg({column}) {sharded.over(rows)}"
 
 
-def _deviation(sharded: Sharded, column: str, rows: int) -> Column:
-    frame = sharded.window().rowsBetween(1 - rows, 0)
-    return F.coalesce(F.stddev_samp(column).over(frame), F.lit(0.0))
+def _deviation(sharded: Sharded, column: str, rows: int) -> str:
+    return f"coalesce(stddev_samp({column}) {sharded.over(rows)}, 0D)"
 
 
 def add_motion(
@@ -218,8 +235,8 @@ def add_motion(
     speed: bool = True,
     change: bool = True,
 ) -> Sharded:
-    columns = _motion(sharded, robots, joints, speed, change)
-    return _over_halo(sharded, 2 if change else 1, columns)
+    steps = _motion(sharded, robots, joints, speed, change)
+    return _over_halo(sharded, 2 if change else 1, *steps)
 
 
 def add_rolling_mean(
@@ -248,14 +265,14 @@ def add_features(sharded: Sharded, include_extra: bool = False) -> Sharded:
     short, long, mid = (
         n + include_extra for n in (K.MEAN_SHORT, K.MEAN_LONG, K.TRANSIT_MEAN)
     )
-    columns = _motion(sharded, K.ROBOTS, K.JOINTS)
+    windowed, *steps, result = _motion(sharded, K.ROBOTS, K.JOINTS)
     for r in K.ROBOTS:
         name = K.load(r)
-        columns[f"{name}_MA10"] = _mean(sharded, name, short)
-        columns[f"{name}_MA60"] = _mean(sharded, name, long)
-        columns[f"{name}_Std10"] = _deviation(sharded, name, short)
-    columns[K.TRANSIT_MA50] = _mean(sharded, K.TRANSIT, mid)
-    featured = _over_halo(sharded, long - 1, columns)
+        windowed[f"{name}_MA10"] = _mean(sharded, name, short)
+        windowed[f"{name}_MA60"] = _mean(sharded, name, long)
+        windowed[f"{name}_Std10"] = _deviation(sharded, name, short)
+    windowed[K.TRANSIT_MA50] = _mean(sharded, K.TRANSIT, mid)
+    featured = _over_halo(sharded, long - 1, windowed, *steps, result)
     return featured.with_df(
         featured.df.withColumns({K.BOTTLENECK: bottleneck(), K.LABEL: defect_label()})
     )

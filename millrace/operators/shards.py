@@ -73,6 +73,12 @@ class Sharded:
     def running(self) -> WindowSpec:
         return self.window().rowsBetween(Window.unboundedPreceding, 0)
 
+    def over(self, rows: int | None = None) -> str:
+        """The same window as SQL text; with ``rows``, the frame of the last rows."""
+        frame = f" ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW" if rows else ""
+        keys, order = ", ".join(self.key), ", ".join(self.series.order)
+        return f"OVER (PARTITION BY {keys} ORDER BY {order}{frame})"
+
     def with_df(self, df: DataFrame) -> "Sharded":
         return replace(self, df=df)
 
@@ -93,7 +99,8 @@ def shard(
     ``MAX_SHARDS``.
     """
     if SHARD in df.columns:
-        return Sharded(df, series, single=False)
+        first, last = df.agg(F.min(SHARD), F.max(SHARD)).first()
+        return Sharded(df, series, single=first == last)
     limit = rows_per_shard or ROWS_PER_SHARD
     time = F.col(series.time)
     total, low, high = df.agg(F.count(F.lit(1)), F.min(time), F.max(time)).first()

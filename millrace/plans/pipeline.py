@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace import constants as K
@@ -27,11 +29,18 @@ def layer_path(root: str, layer: str, name: str) -> str:
 
 
 def bronze(spark: SparkSession, raw: dict[str, DataFrame], root: str) -> None:
-    """Store each raw source, the conveyor without its hidden signals."""
-    for name in K.SOURCES:
+    """Store each raw source, the conveyor without its hidden signals.
+
+    The seven writes are independent jobs and are submitted together.
+    """
+
+    def store(name: str) -> None:
         df = mask(raw[name]) if name == "conveyor" else raw[name]
         write_bronze(df, layer_path(root, "bronze", name))
 
+    with ThreadPoolExecutor(len(K.SOURCES)) as pool:
+        list(pool.map(store, K.SOURCES))
+
 
 def unified(
     spark: SparkSession, root: str, line: str | None = None, keep: tuple[str, ...] = (LINE,)
@@ -63,12 +72,13 @@ def silver(
     """Join the sources and rebuild the hidden signals.
 
     The join is stored before the ordered part, so that counting and cutting
-    it into shards does not run it again. The silver table keeps its ``shard``
-    column: gold uses the same cuts.
+    it into shards does not run it again; as it is read back whole, it is
+    written as it falls, without another exchange. The silver table keeps its
+    ``shard`` column: gold uses the same cuts.
     """
     joined = layer_path(root, "silver", "joined")
     series = Series(LINE, "t_us", ties)
-    write_layer(unified(spark, root, line, keep), joined, (LINE, *series.order))
+    unified(spark, root, line, keep).write.mode("overwrite").parquet(joined)
     sharded = shard(read_layer(spark, joined), series, rows_per_shard)
     rebuilt = rebuild_hidden(sharded, whole_seconds=whole_seconds).df
     path = layer_path(root, "silver", "integrated")

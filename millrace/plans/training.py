@@ -41,9 +41,9 @@ def feature_matrix(df: DataFrame, features: list[str] | None = None) -> DataFram
     """Feature columns as doubles without gaps; other columns unchanged."""
     features = features or feature_names(df)
     chosen = set(features)
-    return df.select(
+    return df.selectExpr(
         *[
-            F.coalesce(number(c), F.lit(0.0)).alias(c) if c in chosen else F.col(c)
+            f"coalesce({number(c)}, 0D) AS `{c}`" if c in chosen else f"`{c}`"
             for c in df.columns
         ]
     )

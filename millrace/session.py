@@ -15,9 +15,20 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles a method above 8,000 bytes of bytecode, and fused
+    # code over a hundred sensor columns gets there. With this limit such a
+    # stage runs as many small compiled methods instead of one interpreted one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """The builder with the recommended settings."""
+    for name, value in RECOMMENDED.items():
+        builder = builder.config(name, value)
+    return builder
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session zone so that timestamps without a zone mean UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
