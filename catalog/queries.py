@@ -13,7 +13,7 @@ from millrace.functions import columns as C, energy as E, scores as S
 from millrace.operators import evaluate, forecast, kpi, ordered as O, status, unify
 from millrace.operators.shards import SHARD, Sharded, shard
 from millrace.plans import pipeline, training
-from millrace.session import scratch
+from millrace.session import scratch, use_utc
 from millrace.sources import layers, raw
 from millrace.streaming import transit as live, windows
 
@@ -801,19 +801,31 @@ def train_score(spark, sf_dir):
 # ---- Streams -------------------------------------------------------------
 
 
-STREAM_SLICES, SLICE_FILES = 4, 2
+STREAM_SLICES, SLICE_FILES = 3, 2
 
 
-def _stream_source(spark, df: DataFrame) -> DataFrame:
+def _stream_session(spark) -> SparkSession:
+    """A session of its own for streams with state, one state partition per core.
+
+    The number of state partitions is fixed when a stream first runs and every
+    one of them is committed in every micro-batch.
+    """
+    session = use_utc(spark.newSession())
+    cores = str(spark.sparkContext.defaultParallelism)
+    session.conf.set("spark.sql.shuffle.partitions", cores)
+    return session
+
+
+def _stream_source(session, df: DataFrame) -> DataFrame:
     """The rows as a stream that delivers one slice of time per micro-batch."""
-    path = scratch(spark, "stream")
+    path = scratch(session, "stream")
     low, high = df.agg(F.min("t_us"), F.max("t_us")).first()
     part = F.floor((F.col("t_us") - low) * STREAM_SLICES / (high - low + 1))
     for number in range(STREAM_SLICES):
         slice_ = df.where(part == number).repartition(SLICE_FILES)
         slice_.write.mode("append").parquet(path)
     return (
-        spark.readStream.schema(df.schema)
+        session.readStream.schema(df.schema)
         .option("maxFilesPerTrigger", SLICE_FILES)
         .parquet(path)
     )
@@ -824,7 +836,7 @@ def stream_transit(spark, sf_dir):
     """Transit and gap over micro-batches; equals the batch result."""
     df = tel(spark, sf_dir).select(*KEYS, "t_us", K.STOPPER1, K.STOPPER3)
     out = scratch(spark, "transit")
-    rows = live.run_transit(_stream_source(spark, df), out)
+    rows = live.run_transit(_stream_source(_stream_session(spark), df), out)
     return rows.selectExpr(*KEYS, *rounded("dt"), K.TRANSIT)
 
 
@@ -845,9 +857,10 @@ def stream_downtime(spark, sf_dir):
         K.temperature(4),
     )
     out = scratch(spark, "gaps")
-    timed = live.run_transit(_stream_source(spark, df), out)
+    session = _stream_session(spark)
+    timed = live.run_transit(_stream_source(session, df), out)
     stamped = timed.withColumn("timestamp", F.timestamp_micros("t_us"))
-    stream = _stream_source(spark, stamped)
+    stream = _stream_source(session, stamped)
     result = windows.windowed_kpis(stream, unique=["event_id"])
     rows = windows.run_append(result, scratch(spark, "windows"))
     sums = ("elapsed_s", "estop_s", "door1_s", "door2_s", "downtime_s", "saved_kwh")
@@ -862,12 +875,12 @@ def stream_downtime(spark, sf_dir):
 @query
 def stream_unify(spark, sf_dir):
     """Conveyor, safety and cycle streams aligned on line and instant."""
-    streams = []
+    session, streams = _stream_session(spark), []
     for name in ("conveyor", "safety", "cycle"):
         source = raw_source(spark, sf_dir, name)
         stamped = source.withColumn("timestamp", C.parse_time(F.col(K.TIME_TEXT)))
         timed = stamped.drop(K.TIME_TEXT).withColumn("t_us", F.unix_micros("timestamp"))
-        stream = _stream_source(spark, timed.where(F.col("t_us").isNotNull()))
+        stream = _stream_source(session, timed.where(F.col("t_us").isNotNull()))
         streams.append(stream if name == "conveyor" else stream.drop("t_us"))
     rows = windows.run_append(windows.unify_streams(streams), scratch(spark, "aligned"))
     return rows.select(*KEYS, "t_us", K.STOPPER1, K.ESTOP, K.CYCLE_COUNT, K.DESCRIPTION)

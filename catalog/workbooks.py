@@ -7,12 +7,13 @@ into a shared folder.
 from __future__ import annotations
 
 import io
-import os
+import re
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -40,18 +41,20 @@ def book_bytes(pdf: pd.DataFrame) -> bytes:
 
 
 def write_workbooks(df: DataFrame, path: str, ending: str = ".xlsx") -> None:
-    folder = path.removeprefix("file:")
+    # Spark writes "file:/x" where URIs elsewhere are "file:///x".
+    uri = re.sub("^file:/+", "file:///", path)
 
     def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Names follow the task, so a task run again replaces its own files.
-        os.makedirs(folder, exist_ok=True)
+        files, folder = FileSystem.from_uri(uri)
+        files.create_dir(folder, recursive=True)
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for start in range(0, len(batch), ROWS_PER_BOOK):
                 part = batch.iloc[start : start + ROWS_PER_BOOK]
                 name = f"{folder}/book-{task:05d}-{number:05d}{ending}"
                 number += 1
-                with open(name, "wb") as file:
+                with files.open_output_stream(name) as file:
                     file.write(book_bytes(part))
                 yield pd.DataFrame({"name": [name]})
 

@@ -70,3 +70,8 @@ def transit_trend(column: str = K.TRANSIT) -> Column:
 
 def jammed(column: str = K.TRANSIT) -> Column:
     return F.coalesce(F.col(column) > K.JAM_S, F.lit(False))
+
+
+def fixed_text(value: Column, places: int, sign: bool = False) -> Column:
+    """Number as shown on a card, such as ``12.50`` or ``+3``."""
+    return F.format_string(f"%{'+' if sign else ''}.{places}f", value)

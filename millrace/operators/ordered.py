@@ -6,7 +6,7 @@ with columns added, so that a chain of them shares one exchange and one sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace import constants as K
 from millrace.functions.columns import (
@@ -161,14 +161,23 @@ def add_running(sharded: Sharded, sums: dict[str, Column]) -> Sharded:
     return sharded.with_df(rows.withColumns(added).drop(*befores))
 
 
-def add_index(sharded: Sharded, name: str = "idx") -> Sharded:
-    """Position of the row in its line, from 0."""
+def add_index(sharded: Sharded, name: str = "idx", total: str | None = None) -> Sharded:
+    """Position of the row in its line, from 0; with ``total``, the line's length."""
     local = F.row_number().over(sharded.window()).cast("long") - 1
+    one = F.count(F.lit(1))
     if sharded.single:
-        return sharded.with_df(sharded.df.withColumn(name, local))
-    counts = sharded.df.groupBy(*sharded.key).agg(F.count(F.lit(1)).alias("_rows"))
+        added = {name: local}
+        if total:
+            added[total] = one.over(Window.partitionBy(*sharded.key))
+        return sharded.with_df(sharded.df.withColumns(added))
+    counts = sharded.df.groupBy(*sharded.key).agg(one.alias("_rows"))
     carried = carry(sharded, counts, {"_before": F.sum("_rows")})
-    rows = attach(sharded, sharded.df, carried, "_before")
+    kept = ["_before"]
+    if total:
+        whole = F.sum("_rows").over(Window.partitionBy(sharded.series.line))
+        carried = carried.withColumn(total, whole)
+        kept.append(total)
+    rows = attach(sharded, sharded.df, carried, *kept)
     index = local + F.coalesce(F.col("_before"), F.lit(0).cast("long"))
     return sharded.with_df(rows.withColumn(name, index).drop("_before"))
 
@@ -308,24 +317,17 @@ def trailing_history(
     ``rel_index`` counts from 0 at the oldest row, or, with
     ``from_zero=False``, up to 0 at the newest.
     """
-    line = sharded.series.line
-    indexed = add_index(sharded).df
+    indexed = add_index(sharded, total="_rows").df
     if index is None:
-        ends = sharded.df.groupBy(line).agg((F.count(F.lit(1)) - 1).alias("_end"))
-        indexed = indexed.join(ends, line)
+        indexed = indexed.withColumn("_end", F.col("_rows") - 1)
     else:
         # A line shorter than the position has no current row and no history.
-        ends = (
-            sharded.df.groupBy(line)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > index)
-        )
-        indexed = indexed.join(ends.select(line), line, "left_semi")
+        indexed = indexed.where(F.col("_rows") > index)
         indexed = indexed.withColumn("_end", F.lit(index).cast("long"))
     start = F.greatest(F.lit(0), F.col("_end") - (rows - 1))
     origin = start if from_zero else F.col("_end")
     return (
         indexed.where(F.col("idx").between(start, F.col("_end")))
         .withColumn("rel_index", F.col("idx") - origin)
-        .drop("_end", SHARD)
+        .drop("_end", "_rows", SHARD)
     )

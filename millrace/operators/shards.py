@@ -28,6 +28,9 @@ from millrace.session import checkpointed
 
 ROWS_PER_SHARD = 1_000_000
 MAX_SHARDS = 100_000
+# Cut points are chosen from about this many sampled rows per shard. The sample
+# only decides where the cuts lie; every row goes to a shard.
+SAMPLES_PER_SHARD = 50
 # Lines are spread over this many stretches of the axis the cuts are made on.
 LINE_SLOTS = 1 << 14
 # A halo plan with at most this many (shard, later shard) pairs, each a few
@@ -96,7 +99,8 @@ def shard(
 
     Runs one narrow job for the row count, and one per level of cuts if the
     table is larger than a shard. The driver gets the cut points only, at most
-    ``MAX_SHARDS``.
+    ``MAX_SHARDS``. The cuts are constants of the plan, so a task that runs
+    again after a lost executor puts its rows where they were.
     """
     if SHARD in df.columns:
         first, last = df.agg(F.min(SHARD), F.max(SHARD)).first()
@@ -112,14 +116,17 @@ def shard(
     levels = [slot + (time - F.lit(low)) / F.lit(float(high - low + 1))]
     levels += [F.col(c).cast("double") for c in series.order]
     probabilities = [i / pieces for i in range(1, pieces)]
+    fraction = min(1.0, SAMPLES_PER_SHARD * pieces / total)
     number, hot = F.lit(0).cast("long"), None
     for value in levels:
-        scope = df if hot is None else df.where(hot)
-        cuts = scope.select(value.alias("_at")).approxQuantile(
-            "_at", probabilities, 0.25 / pieces
-        )
+        scope = (df if hot is None else df.where(hot)).select(value.alias("_at"))
+        if fraction < 1.0:
+            scope = scope.sample(fraction, seed=17)
+        cuts = scope.approxQuantile("_at", probabilities, 0.25 / pieces)
         repeated = [v for v, n in Counter(cuts).items() if n > 1]
         edges = sorted({*cuts, *(math.nextafter(v, math.inf) for v in repeated)})
+        if not edges:
+            break
         df = Bucketizer(
             splits=[-math.inf, *edges, math.inf],
             inputCol="_at",

@@ -13,8 +13,8 @@ from millrace.sources.workbook import read_workbooks
 # First bytes of a workbook, which is a zip archive.
 WORKBOOK_MAGIC = b"PK\x03\x04"
 # A ``.csv`` above this size is taken to be what it says; only smaller files
-# are opened to look for a mislabelled workbook.
-SNIFF_LIMIT_BYTES = 512 * 1024 * 1024
+# are opened to look for a mislabelled workbook. A full sheet is well below it.
+SNIFF_LIMIT_BYTES = 256 * 1024 * 1024
 
 
 def clean_name(name: str) -> str:
@@ -62,15 +62,15 @@ def load_raw(
     path: str,
     columns: list[str] | None = None,
     format: str | None = None,
-    sniff: bool = True,
 ) -> DataFrame:
     """One raw source as cleaned columns: text columns as text, others double.
 
     ``format`` is ``csv``, ``json``, ``parquet`` or ``workbook``; by default it
-    follows the path's ending. With ``sniff``, a ``.csv`` that is a workbook
-    inside is read as one. Workbooks need the expected ``columns``, as does
-    JSON. Unreadable numbers and NaN become NULL.
+    follows the path's ending, and a ``.csv`` that is a workbook inside is read
+    as one. Say ``csv`` to skip looking into the files first. Workbooks need the
+    expected ``columns``, as does JSON. Unreadable numbers and NaN become NULL.
     """
+    sniff = format is None
     format = format or _format_of(path)
     if format == "parquet":
         return coerce_numeric(clean_headers(spark.read.parquet(path)))

@@ -127,6 +127,12 @@ def test_transit_texts(spark):
     ]
 
 
+def test_number_texts(spark):
+    df = spark.createDataFrame([(12.504,), (-3.2,)], "v double")
+    got = df.select(S.fixed_text(F.col("v"), 2), S.fixed_text(F.col("v"), 0, sign=True)).collect()
+    assert [tuple(r) for r in got] == [("12.50", "+13"), ("-3.20", "-3")]
+
+
 def test_stop_causes(spark):
     df = rows(spark, [(0, 0.0, 1.0, 0.0, 1.0, None), (1, 1.0, None, 1.0, 1.0, None)])
     got = df.select(S.line_state(), S.stop_causes()).collect()
