@@ -31,9 +31,7 @@ RELEASE, RECEIPT = "is_release1", "is_receipt3"
 
 def add_previous(sharded: Sharded, names: dict[str, str]) -> Sharded:
     """Value of the row before, as ``names[column]``; NULL on a line's first row."""
-    df = previous(sharded, list(names))
-    kept = df.select("*", *[F.col("_prev")[c].alias(n) for c, n in names.items()])
-    return sharded.with_df(kept.drop("_prev"))
+    return sharded.with_df(previous(sharded, names))
 
 
 def add_dt(
@@ -57,17 +55,16 @@ def add_dt(
 
 def add_edges(sharded: Sharded) -> Sharded:
     """Release: stopper 1 goes 1 -> 0. Receipt: stopper 3 goes 0 -> 1."""
-    df = previous(sharded, [K.STOPPER1, K.STOPPER3])
-    before = F.col("_prev")
-    release = (F.col(K.STOPPER1) == 0.0) & (before[K.STOPPER1] == 1.0)
-    receipt = (F.col(K.STOPPER3) == 1.0) & (before[K.STOPPER3] == 0.0)
+    df = previous(sharded, {K.STOPPER1: "_prev1", K.STOPPER3: "_prev3"})
+    release = (F.col(K.STOPPER1) == 0.0) & (F.col("_prev1") == 1.0)
+    receipt = (F.col(K.STOPPER3) == 1.0) & (F.col("_prev3") == 0.0)
     return sharded.with_df(
         df.withColumns(
             {
                 RELEASE: F.coalesce(release, F.lit(False)),
                 RECEIPT: F.coalesce(receipt, F.lit(False)),
             }
-        ).drop("_prev")
+        ).drop("_prev1", "_prev3")
     )
 
 
@@ -183,18 +180,27 @@ def add_index(sharded: Sharded, name: str = "idx", total: str | None = None) ->
 
 
 def _over_halo(
-    sharded: Sharded, rows: int, windowed: dict[str, str], *then: dict[str, str]
+    sharded: Sharded,
+    rows: int,
+    windowed: dict[str, str],
+    lagged: dict[str, str],
+    *then: dict[str, str],
 ) -> Sharded:
     """Window columns over rows with their halo, then plain columns on top.
 
-    Each window function is named once and referred to afterwards; written
-    inline it would be evaluated once per mention. Helpers start with ``_``.
+    ``lagged`` holds window columns over the results of ``windowed``. Each
+    window function is named once and referred to afterwards; written inline it
+    would be evaluated once per mention. Helpers start with ``_``.
     """
     df = with_exprs(with_halo(sharded, rows), windowed)
+    if lagged:
+        df = with_exprs(df, lagged)
     df = df.where(~F.col(HALO)).drop(HALO)
     for columns in then:
         df = with_exprs(df, columns)
-    helpers = [c for columns in (windowed, *then) for c in columns if c.startswith("_")]
+    helpers = [
+        c for columns in (windowed, lagged, *then) for c in columns if c.startswith("_")
+    ]
     return sharded.with_df(df.drop(*helpers))
 
 
@@ -226,11 +232,44 @@ def _motion(sharded: Sharded, robots, joints, speed=True, change=True):
             )
     if speed:
         result |= {K.velocity(r, j): f"coalesce(_v_{x}, 0D)" for x, r, j in names}
-    return windowed, gaps, speeds, result
+    return windowed, {}, gaps, speeds, result
+
+
+# Long means are put together from sums of this many rows.
+CHUNK = 10
 
 
-def _mean(sharded: Sharded, column: str, rows: int) -> str:
-    return f"avg({column}) {sharded.over(rows)}"
+def _mean(
+    sharded: Sharded, column: str, rows: int
+) -> tuple[dict[str, str], dict[str, str], str]:
+    """Window columns, columns lagged over them, and the mean of the last rows.
+
+    A sliding frame is added up again for every row, so its cost is its length.
+    A long frame is instead the sum of chunks of ten rows, each added up once
+    and looked up again by ``lag`` 10, 20, ... rows later: about ten additions
+    and a few look-ups per row for any length. Nothing is subtracted, so no
+    digits are lost.
+    """
+    if rows < CHUNK:
+        return {}, {}, f"avg({column}) {sharded.over(rows)}"
+    over, chunk = sharded.over(), sharded.over(CHUNK)
+    total, count = f"_sum_{column}", f"_count_{column}"
+    windowed = {total: f"sum({column}) {chunk}", count: f"count({column}) {chunk}"}
+    lagged, totals, counts = {}, [f"coalesce({total}, 0D)"], [count]
+    chunks, rest = divmod(rows, CHUNK)
+    for n in range(CHUNK, chunks * CHUNK, CHUNK):
+        lagged[f"{total}_{n}"] = f"lag({total}, {n}) {over}"
+        lagged[f"{count}_{n}"] = f"lag({count}, {n}) {over}"
+        totals.append(f"coalesce({total}_{n}, 0D)")
+        counts.append(f"coalesce({count}_{n}, 0)")
+    for n in range(chunks * CHUNK, chunks * CHUNK + rest):
+        one = f"_one_{column}_{n}"
+        lagged[one] = f"lag({column}, {n}) {over}"
+        totals.append(f"coalesce({one}, 0D)")
+        counts.append(f"int({one} IS NOT NULL)")
+    number = " + ".join(counts)
+    mean = f"CASE WHEN {number} > 0 THEN ({' + '.join(totals)}) / ({number}) END"
+    return windowed, lagged, mean
 
 
 def _deviation(sharded: Sharded, column: str, rows: int) -> str:
@@ -253,8 +292,14 @@ def add_rolling_mean(
 ) -> Sharded:
     """Mean of the last ``rows`` rows; ``include_extra`` takes one row more."""
     rows += include_extra
-    columns = {n: _mean(sharded, c, rows) for c, n in names.items()}
-    return _over_halo(sharded, rows - 1, columns)
+    windowed, lagged, means = {}, {}, {}
+    for column, name in names.items():
+        sums, looked_up, means[name] = _mean(sharded, column, rows)
+        windowed |= sums
+        lagged |= looked_up
+    if rows < CHUNK:
+        return _over_halo(sharded, rows - 1, means, {})
+    return _over_halo(sharded, rows - 1, windowed, lagged, means)
 
 
 def add_rolling_deviation(
@@ -263,7 +308,7 @@ def add_rolling_deviation(
     """Sample deviation of the last ``rows`` rows; 0 where there is only one."""
     rows += include_extra
     columns = {n: _deviation(sharded, c, rows) for c, n in names.items()}
-    return _over_halo(sharded, rows - 1, columns)
+    return _over_halo(sharded, rows - 1, columns, {})
 
 
 def add_features(sharded: Sharded, include_extra: bool = False) -> Sharded:
@@ -274,14 +319,17 @@ def add_features(sharded: Sharded, include_extra: bool = False) -> Sharded:
     short, long, mid = (
         n + include_extra for n in (K.MEAN_SHORT, K.MEAN_LONG, K.TRANSIT_MEAN)
     )
-    windowed, *steps, result = _motion(sharded, K.ROBOTS, K.JOINTS)
+    windowed, lagged, *steps, result = _motion(sharded, K.ROBOTS, K.JOINTS)
+    wanted = [(K.TRANSIT, K.TRANSIT_MA50, mid)]
     for r in K.ROBOTS:
         name = K.load(r)
-        windowed[f"{name}_MA10"] = _mean(sharded, name, short)
-        windowed[f"{name}_MA60"] = _mean(sharded, name, long)
+        wanted += [(name, f"{name}_MA10", short), (name, f"{name}_MA60", long)]
         windowed[f"{name}_Std10"] = _deviation(sharded, name, short)
-    windowed[K.TRANSIT_MA50] = _mean(sharded, K.TRANSIT, mid)
-    featured = _over_halo(sharded, long - 1, windowed, *steps, result)
+    for column, name, rows in wanted:
+        sums, looked_up, result[name] = _mean(sharded, column, rows)
+        windowed |= sums
+        lagged |= looked_up
+    featured = _over_halo(sharded, long - 1, windowed, lagged, *steps, result)
     return featured.with_df(
         featured.df.withColumns({K.BOTTLENECK: bottleneck(), K.LABEL: defect_label()})
     )

@@ -176,18 +176,26 @@ def attach(
     return rows.join(carried.select(*sharded.key, *names), sharded.key, "left")
 
 
-def previous(sharded: Sharded, columns: list[str], name: str = "_prev") -> DataFrame:
-    """Add a struct with the given columns of the row before; NULL on the first."""
-    value = F.struct(*columns)
-    local = F.lag(value).over(sharded.window())
+def previous(sharded: Sharded, names: dict[str, str]) -> DataFrame:
+    """Values of the row before, as ``names[column]``; NULL on a line's first row."""
+    w = sharded.window()
+    local = {n: F.lag(c).over(w) for c, n in names.items()}
     if sharded.single:
-        return sharded.df.withColumn(name, local)
+        return sharded.df.withColumns(local)
     last = sharded.df.groupBy(*sharded.key).agg(
-        F.max_by(value, F.struct(*sharded.series.order)).alias("_last")
+        F.max_by(F.struct(*names), F.struct(*sharded.series.order)).alias("_last")
     )
     carried = carry(sharded, last, {"_before": F.last("_last", ignorenulls=True)})
     rows = attach(sharded, sharded.df, carried, "_before")
-    return rows.withColumn(name, F.coalesce(local, F.col("_before"))).drop("_before")
+    # The time is never NULL, so a NULL before it marks a shard's first row.
+    first = F.lag(sharded.series.time).over(w).isNull()
+    rows = rows.withColumns({**local, "_first": first})
+    return rows.withColumns(
+        {
+            n: F.when(F.col("_first"), F.col("_before")[c]).otherwise(F.col(n))
+            for c, n in names.items()
+        }
+    ).drop("_before", "_first")
 
 
 def previous_time(sharded: Sharded, name: str = "_prev_time") -> DataFrame:

@@ -55,14 +55,26 @@ def test_sharded_equals_whole_line(spark, rows, size):
         s = O.add_dt(s, first=0.1, zero_as=None)
         s = O.add_running(s, {"total": F.col("dt")})
         s = O.add_rolling_mean(s, 7, {"x": "mean"})
+        s = O.add_rolling_mean(s, 23, {"x": "long"})
         s = O.add_rolling_deviation(s, 4, {"x": "std"})
         return table(
-            s.df, "filled", "idx", O.RELEASE, O.RECEIPT, K.TRANSIT, "dt", "total", "mean", "std"
+            s.df, "filled", "idx", O.RELEASE, O.RECEIPT, K.TRANSIT, "dt", "total", "mean", "long", "std"
         )
 
     assert everything(cut) == everything(whole)
 
 
+def test_long_mean_equals_plain_frame(spark):
+    rows = [(1 + i % 2, i // 3, 1.0, 0.0, None if i % 7 == 0 else i * i) for i in range(160)]
+    df = frame(spark, rows)
+    w = Window.partitionBy("line_id").orderBy("t_us", "event_id")
+    for size in (None, 9):
+        for n in (9, 10, 11, 20, 60, 61):
+            got = O.add_rolling_mean(shard(df, rows_per_shard=size), n, {"x": "m"}).df
+            want = df.withColumn("m", F.avg("x").over(w.rowsBetween(1 - n, 0)))
+            assert table(got, "m") == table(want, "m")
+
+
 def test_shards_are_even_and_ordered(spark):
     """A line with most rows, half of them at one instant, still gets cut."""
     rows = spark.range(20_000).select(
