@@ -92,11 +92,12 @@ def _shared_texts(book: zipfile.ZipFile) -> list[str]:
 def _date_styles(book: zipfile.ZipFile) -> set[int]:
     """Numbers of the cell styles that show a date or time."""
     root = ElementTree.fromstring(book.read("xl/styles.xml"))
-    custom = {
-        int(f.get("numFmtId"))
-        for f in root.iter(f"{_MAIN}numFmt")
-        if re.search(r"[ymdhs]", re.sub(r'"[^"]*"|\[[^\]]*\]', "", f.get("formatCode", "")).lower())
-    }
+    custom = set()
+    for number_format in root.iter(f"{_MAIN}numFmt"):
+        # Quoted texts and bracketed colours are not part of the pattern.
+        code = re.sub(r'"[^"]*"|\[[^\]]*\]', "", number_format.get("formatCode", ""))
+        if re.search(r"[ymdhs]", code.lower()):
+            custom.add(int(number_format.get("numFmtId")))
     formats = root.find(f"{_MAIN}cellXfs")
     return {
         i
@@ -125,8 +126,7 @@ def _text(cell, shared: list[str], dates: set[int]) -> str | None:
     if kind == "s":
         return shared[int(value)]
     if kind == "n" and int(cell.get("s", 0)) in dates:
-        moment = _EPOCH + dt.timedelta(days=float(value))
-        # A day fraction in a double is exact to about a microsecond.
-        moment = dt.datetime.min + round((moment - dt.datetime.min) / dt.timedelta(milliseconds=1)) * dt.timedelta(milliseconds=1)
+        # Dates are days since the epoch; milliseconds are what a double holds.
+        moment = _EPOCH + dt.timedelta(milliseconds=round(float(value) * 86_400_000))
         return moment.isoformat(sep=" ", timespec="milliseconds")
     return value
