@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, language, substring
+from millrace.llm import bpe, decontaminate, jaccard, language, lines, sharding, sql, substring, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +20,26 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards with the same mixture of sources."""
+    return sharding.digests(_table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier document has are cut."""
     return substring.digests(substring.deduplicate(_table(spark, sf_dir, "documents")))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose template recurs across documents are dropped, but for the first."""
+    return lines.digests(_table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors of cosine 0.9 and more."""
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -33,44 +48,40 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold test items, with what they share."""
+    return decontaminate.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Tokens of every document and their decoded text, as hashes."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"), bpe.vocabulary(path or vocabulary_path()))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose shingle sets have a similarity of 0.75 and more."""
+    return jaccard.group(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sharding": op1_sharding,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_line_dedup": op3_line_dedup,
+        "op4_embedding_dedup": op4_embedding_dedup,
         "op5_language_id": op5_language_id,
+        "op7_decontamination": op7_decontamination,
         "op9_bpe_round_trip": op9_bpe_round_trip,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
-OP2_SQL = r"""
-WITH w AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
-    FROM documents
-), win AS (
-    SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM w WHERE len(ws) >= 50
-), h AS (
-    SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS s FROM win
-), late AS (
-    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS lo FROM h) WHERE lo < doc_id
-), cut AS (
-    SELECT doc_id, list(DISTINCT j) AS js FROM (SELECT doc_id, unnest(range(i, i + 50)) AS j FROM late) GROUP BY doc_id
-), cutset AS (
-    SELECT DISTINCT doc_id, unnest(js) AS j FROM cut
-), toks AS (
-    SELECT doc_id, unnest(ws) AS wd, unnest(range(1, len(ws) + 1)) AS j FROM w
-), kept AS (
-    SELECT t.doc_id, string_agg(t.wd, ' ' ORDER BY t.j) AS k
-    FROM toks t LEFT JOIN cutset c ON t.doc_id = c.doc_id AND t.j = c.j WHERE c.j IS NULL GROUP BY t.doc_id
-)
-SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
-    sha256(coalesce(k, '')) AS kept_sha256
-FROM w LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": OP2_SQL}
+    return {
+        "op1_sharding": sql.SHARDING,
+        "op2_substring_dedup": sql.SUBSTRING,
+        "op3_line_dedup": sql.LINES,
+        "op4_embedding_dedup": sql.VECTORS,
+        "op7_decontamination": sql.DECONTAMINATE,
+        "op10_jaccard_join": sql.JACCARD,
+    }

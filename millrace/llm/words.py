@@ -25,7 +25,7 @@ _TABLES: dict[str, np.ndarray] = {}
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijection of 64-bit numbers in which every input bit reaches every output bit."""
-    x = x ^ np.uint64((seed * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF)
+    x = x ^ np.uint64((int(seed) * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
@@ -111,7 +111,7 @@ def rolling(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     """Rabin-Karp hash of every run of ``width`` hashes; runs may cross texts."""
     n = max(0, len(hashes) - width + 1)
     out = np.zeros(n, np.uint64)
-    base = np.uint64((_BASE * (2 * seed + 1)) & 0xFFFFFFFFFFFFFFFF)
+    base = np.uint64((_BASE * (2 * int(seed) + 1)) & 0xFFFFFFFFFFFFFFFF)
     for k in range(width):
         out *= base
         out += hashes[k : k + n]
@@ -152,7 +152,7 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
         if b - a >= width:
             sets.append(np.unique(runs[a : b - width + 1]))
         elif b > a:
-            sets.append(rolling(hashes[a:b], b - a, seed=b - a))
+            sets.append(rolling(hashes[a:b], b - a, seed=int(b - a)))
         else:
             sets.append(hashes[:0])
     lengths = np.array([len(s) for s in sets], dtype=np.int64)
