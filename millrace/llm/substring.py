@@ -23,9 +23,9 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
 
     Every window's Rabin-Karp hash is taken in the tasks. So that not all of them need
     a shuffle, two exact steps go first: documents with the same word sequence are
-    stood for by the one with the smallest key, and a window is only counted if its
-    least inner half-window hash occurs in two documents. Equal windows have equal
-    least half-windows, so this loses nothing.
+    stood for by the one with the smallest key, and a window is only counted if the
+    least hash of its inner runs (``_inner`` words each) occurs again somewhere. Equal
+    windows have equal least inner runs, so this loses nothing.
     """
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     read = checkpointed(base.mapInArrow(_scan(window), "id long, n long, f1 long, f2 long, halves array<long>"))
@@ -33,14 +33,14 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     first = keyed.groupBy("f1", "f2").agg(F.min("id").alias("first"))
     copies = keyed.join(first, ["f1", "f2"]).select("id", (F.col("id") > F.col("first")).alias("copy"), "halves")
     halves = copies.where("not copy").select("id", F.explode("halves").alias("h"))
-    shared = halves.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+    shared = halves.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h")
     wanted = halves.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("halves"))
     # The same left join twice: Spark shuffles the texts once and reads them again.
     seen = base.join(wanted, "id", "left").select("id", "text", "halves")
     found = seen.where("halves is not null").mapInArrow(_windows(window), "id long, w1 long, w2 long")
-    earliest = found.groupBy("w1", "w2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    earliest = found.groupBy("w1", "w2").agg(F.min("id").alias("lo"))
     late = (
-        found.join(earliest.select("w1", "w2", "lo"), ["w1", "w2"])
+        found.join(earliest, ["w1", "w2"])
         .where("id > lo")
         .groupBy("id")
         .agg(F.collect_list("w1").alias("late"))
@@ -62,8 +62,14 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     )
 
 
+def _inner(window: int) -> int:
+    """Words of a window's inner runs: long ones are rarely equal by chance, short ones
+    leave fewer least runs to count."""
+    return max(1, window * 3 // 10)
+
+
 def _scan(window: int):
-    half = (window + 1) // 2
+    half = _inner(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +106,7 @@ def _least_halves(hashes, offsets, window, half):
 
 
 def _windows(window: int):
-    half = (window + 1) // 2
+    half = _inner(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
