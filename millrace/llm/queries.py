@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, decontaminate, jaccard, language, lines, sharding, sql, substring, vectors
+from millrace.llm import bpe, decontaminate, jaccard, language, lines, pii, quality, sharding, sql, substring, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,11 +48,24 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and secrets of every document."""
+    return pii.digests(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold test items, with what they share."""
     return decontaminate.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document, learned from labels; toxic ones count as bad."""
+    docs = _table(spark, sf_dir, "documents")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), good)
+    return quality.score(docs, model).withColumn("kept", F.col("quality") >= 0.5)
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Tokens of every document and their decoded text, as hashes."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"), bpe.vocabulary(path or vocabulary_path()))
@@ -70,7 +83,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_dedup": op3_line_dedup,
         "op4_embedding_dedup": op4_embedding_dedup,
         "op5_language_id": op5_language_id,
+        "op6_pii": op6_pii,
         "op7_decontamination": op7_decontamination,
+        "op8_quality": op8_quality,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_jaccard_join": op10_jaccard_join,
     }
