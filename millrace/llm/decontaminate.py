@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from millrace.llm.joins import bounded
 from millrace.session import checkpointed
 
 #: Rows of item shingles or candidates that may be broadcast; more are joined by shuffle.
@@ -61,13 +62,13 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
     rows = rows.select("id", F.explode(_shingles(F.col("w"), width)).alias("h"))
     probes = goods.where("probe").groupBy("h").agg(F.collect_set("item").alias("items"))
     # A sketch value may be in many items; each then is a candidate.
-    hits = rows.join(_bounded(probes, goods), "h").select("id", F.explode("items").alias("item")).distinct()
+    hits = rows.join(bounded(probes, BROADCAST_ROWS, goods), "h").select("id", F.explode("items").alias("item")).distinct()
     hits = checkpointed(hits)
     several = hits.select("id").distinct()
-    again = base.join(_bounded(several, several), "id")
+    again = base.join(bounded(several, BROADCAST_ROWS), "id")
     rows = again.select("id", _words(F.col("text")).alias("w"))
     rows = rows.select("id", F.explode(_shingles(F.col("w"), width)).alias("h")).distinct()
-    wanted = hits.join(_bounded(goods, goods).select("item", "h", "n"), "item")
+    wanted = hits.join(bounded(goods, BROADCAST_ROWS).select("item", "h", "n"), "item")
     return (
         rows.join(wanted, ["id", "h"])
         .groupBy("id", "item", "n")
@@ -81,8 +82,3 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
             (F.col("n_shared") / F.col("n")).alias("containment"),
         )
     )
-
-
-def _bounded(df: DataFrame, counted: DataFrame) -> DataFrame:
-    """Broadcast if ``counted`` has few enough rows."""
-    return F.broadcast(df) if counted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

@@ -1,0 +1,13 @@
+"""Joins that broadcast a side only if it is known to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def bounded(df: DataFrame, rows: int, counted: DataFrame | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it (or ``counted``) has at most ``rows`` rows.
+
+    Beyond that it is left as it is, to be joined by shuffle; the result is the same.
+    """
+    return F.broadcast(df) if (counted or df).limit(rows + 1).count() <= rows else df

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.llm.joins import bounded
 from millrace.session import checkpointed
 
 #: Leading words in the path to a leaf.
@@ -17,14 +18,22 @@ DEPTH = 3
 DOCUMENTS = 3
 #: Least share of a line's words that its template fixes.
 FIXED = 0.6
+#: Leaves, and lines taken out, that may be broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Stands for a word with a digit in it.
 FIELD = "<*>"
 
 
-def _words(line: Column) -> Column:
-    """A line's words; one with a digit is a variable field."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ \\t\\r\\x0B\\f]*[0-9][^ \\t\\r\\x0B\\f]*", FIELD)).otherwise(line)
-    return F.filter(F.split(masked, "[ \\t\\r\\x0B\\f]+"), lambda w: w != "")
+def _plain(line: Column) -> Column:
+    """A line's words with one space between them; one with a digit is a field."""
+    odd = line.rlike("[0-9\\t\\r\\x0B\\f]|  |^ | $")
+    masked = F.regexp_replace(line, "[^ \\t\\r\\x0B\\f]*[0-9][^ \\t\\r\\x0B\\f]*", FIELD)
+    return F.when(odd, F.trim(F.regexp_replace(masked, "[ \\t\\r\\x0B\\f]+", " "))).otherwise(line)
+
+
+def _leaf(plain: Column) -> Column:
+    """The place in the tree: the number of words and the leading ones."""
+    return F.xxhash64(F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))), F.substring_index(plain, " ", DEPTH))
 
 
 def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -38,20 +47,18 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     equal rows stay equal. Other columns are kept; the two counts replace columns of
     their names.
 
-    Only hashes of words are shuffled, and those of single words only for leaves that
-    enough documents reach; the texts are shuffled once, to take the lines out.
+    Hashes of words are shuffled for leaves only that enough documents reach. The texts
+    are not, while the leaves and the places taken out are few enough to be broadcast;
+    beyond, the joins shuffle them.
     """
     each = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
     each = each.select("id", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    each = each.select("id", "at", _words(F.col("line")).alias("words")).where("size(words) > 0")
-    each = each.select(
-        "id",
-        "at",
-        F.xxhash64(F.size("words"), F.slice("words", 1, DEPTH)).alias("leaf"),
-        F.transform("words", lambda w: F.hash(w)).alias("words"),
-    )
+    each = each.select("id", "at", _plain(F.col("line")).alias("line")).where("line != ''")
+    each = each.select("id", "at", "line", _leaf(F.col("line")).alias("leaf"))
     reach = each.groupBy("leaf", "id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("n"))
-    lines = checkpointed(each.join(reach.where(f"n >= {DOCUMENTS}").select("leaf"), "leaf"))
+    reach = checkpointed(reach.where(f"n >= {DOCUMENTS}").select("leaf"))
+    lines = each.join(bounded(reach, BROADCAST_ROWS), "leaf")
+    lines = checkpointed(lines.select("leaf", "id", "at", F.transform(F.split("line", " "), lambda w: F.hash(w)).alias("words")))
     spread = lines.select("leaf", "id", "at", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
     common = (
         spread.groupBy("leaf", "place", "word", "id")
@@ -92,7 +99,9 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     base = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)])
     body = names[carry.index(text)]
     base = base.withColumn("id", F.col(names[carry.index(key)]).cast("long"))
-    cut = base.join(gone.withColumnRenamed("id", "gone_id"), F.col("id") == F.col("gone_id"), "left")
+    gone = checkpointed(gone.withColumnRenamed("id", "gone_id"))
+    taken = gone.select(F.explode("gone"))
+    cut = base.join(bounded(gone, BROADCAST_ROWS, taken), F.col("id") == F.col("gone_id"), "left")
     parts = F.split(F.col(body).cast("string"), "\n", -1)
     kept = F.array_join(F.filter(parts, lambda line, at: ~F.array_contains("gone", at)), "\n")
     new = F.when(F.col("gone").isNull(), F.col(body)).otherwise(kept)
