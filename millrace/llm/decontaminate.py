@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.joins import bounded
-from millrace.session import checkpointed
+from millrace.llm.tables import bounded, stored
 
 #: Rows of item shingles or candidates that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
@@ -55,7 +54,7 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
     most = F.pow(F.lit(2.0), part + 1) - 1
     goods = goods.withColumn("sketch", F.floor(most * (1 - share) + 1e-9) + 1)
     goods = goods.withColumn("order", F.row_number().over(size.orderBy(F.xxhash64(F.lit(5), "h"), "h")))
-    goods = checkpointed(goods.select("item", "h", "n", (F.col("order") <= F.col("sketch")).alias("probe")))
+    goods = stored(goods.select("item", "h", "n", (F.col("order") <= F.col("sketch")).alias("probe")))
     base = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).where("id is not null and text is not null")
     # The words are a column of their own, so that they are split once for all shingles.
     rows = base.select("id", _words(F.col("text")).alias("w"))
@@ -63,7 +62,7 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
     probes = goods.where("probe").groupBy("h").agg(F.collect_set("item").alias("items"))
     # A sketch value may be in many items; each then is a candidate.
     hits = rows.join(bounded(probes, BROADCAST_ROWS, goods), "h").select("id", F.explode("items").alias("item")).distinct()
-    hits = checkpointed(hits)
+    hits = stored(hits)
     several = hits.select("id").distinct()
     again = base.join(bounded(several, BROADCAST_ROWS), "id")
     rows = again.select("id", _words(F.col("text")).alias("w"))

@@ -19,12 +19,14 @@ from pyspark.sql.window import Window
 
 from millrace.llm import words
 from millrace.llm.graph import components
-from millrace.session import checkpointed
+from millrace.llm.tables import bounded, stored
 
 #: Least hash values kept for each set, and how many of them must occur in another set
 #: before the set is indexed. A pair of similarity 0.75 misses this with probability
 #: 3e-12; see ``suspects``.
 MINIMA, SHARED = 32, 6
+#: Keys of indexed sets that may be broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Segments of a band, as multiples of the fewest that can do.
 FACTORS = (1.0, 1.15, 1.3, 1.6, 2.2, 4.0, 16.0)
 
@@ -41,16 +43,16 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     ignored, whatever their names.
     """
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    read = checkpointed(base.mapInArrow(_profile(width), "id long, n long, f1 long, f2 long, minima array<long>"))
+    read = stored(base.mapInArrow(_profile(width), "id long, n long, f1 long, f2 long, minima array<long>"))
     keyed = read.where("id is not null and n > 0")
     # Equal sets are one: all but the smallest key hang on it and go no further.
     first = keyed.groupBy("n", "f1", "f2").agg(F.min("id").alias("first"))
     tied = keyed.join(first, ["n", "f1", "f2"])
     same = tied.where("id > first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     own = tied.where("id = first").select("id", "minima")
-    some = suspects(own)
-    sets = checkpointed(
-        base.join(some, "id").mapInArrow(_sets(width), "id long, n long, shingles binary")
+    some = stored(suspects(own))
+    sets = stored(
+        base.join(bounded(some, BROADCAST_ROWS), "id").mapInArrow(_sets(width), "id long, n long, shingles binary")
     )
     links = similar(sets, percent)
     found = components(same.unionByName(links)).withColumnRenamed("node", "id")
@@ -69,7 +71,7 @@ def suspects(sets: DataFrame) -> DataFrame:
     6 with probability 3e-12, and each agreement is a value that two sets have.
     """
     each = sets.select("id", F.explode("minima").alias("v"))
-    shared = each.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v")
+    shared = each.groupBy("v").agg(F.count("*").alias("many")).where("many > 1").select("v")
     return each.join(shared, "v").groupBy("id").count().where(F.col("count") >= SHARED).select("id")
 
 
@@ -85,7 +87,7 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
     plan = allocation(sets, percent)
     index = sets.mapInArrow(_signatures(plan, percent), "sig long, id long, n long, own boolean, spare long")
     often = index.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1")
-    index = checkpointed(index.join(often, "sig"))
+    index = stored(index.join(often, "sig"))
     centre = index.groupBy("sig").agg(F.min("id").alias("c"))
     likely = (
         index.join(centre, "sig")
@@ -96,11 +98,11 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
         .agg(F.max_by("c", F.struct("meet", F.negate("c"))).alias("c"))
         .select(F.col("id").alias("a"), F.col("c").alias("b"))
     )
-    stars = checkpointed(verified(likely, sets, percent))
+    stars = stored(verified(likely, sets, percent))
     known = components(stars).withColumnRenamed("node", "id")
     placed = index.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    placed = checkpointed(placed.join(mixed.select("sig"), "sig"))
+    placed = stored(placed.join(mixed.select("sig"), "sig"))
     by_set = Window.partitionBy("id")
     small = (
         placed.where("own")

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.joins import bounded
-from millrace.session import checkpointed
+from millrace.llm.tables import bounded, stored
 
 #: Leading words in the path to a leaf.
 DEPTH = 3
@@ -56,9 +55,9 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     each = each.select("id", "at", _plain(F.col("line")).alias("line")).where("line != ''")
     each = each.select("id", "at", "line", _leaf(F.col("line")).alias("leaf"))
     reach = each.groupBy("leaf", "id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("n"))
-    reach = checkpointed(reach.where(f"n >= {DOCUMENTS}").select("leaf"))
+    reach = stored(reach.where(f"n >= {DOCUMENTS}").select("leaf"))
     lines = each.join(bounded(reach, BROADCAST_ROWS), "leaf")
-    lines = checkpointed(lines.select("leaf", "id", "at", F.transform(F.split("line", " "), lambda w: F.hash(w)).alias("words")))
+    lines = stored(lines.select("leaf", "id", "at", F.transform(F.split("line", " "), lambda w: F.hash(w)).alias("words")))
     spread = lines.select("leaf", "id", "at", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
     common = (
         spread.groupBy("leaf", "place", "word", "id")
@@ -80,7 +79,7 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .where(f"fixed >= {FIXED} * size")
         .select("id", "at", F.xxhash64("leaf", "fixed", "h", "x").alias("template"))
     )
-    templates = checkpointed(templates)
+    templates = stored(templates)
     recurring = (
         templates.groupBy("template", "id")
         .agg(F.min("at").alias("at"))
@@ -99,7 +98,7 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     base = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)])
     body = names[carry.index(text)]
     base = base.withColumn("id", F.col(names[carry.index(key)]).cast("long"))
-    gone = checkpointed(gone.withColumnRenamed("id", "gone_id"))
+    gone = stored(gone.withColumnRenamed("id", "gone_id"))
     taken = gone.select(F.explode("gone"))
     cut = base.join(bounded(gone, BROADCAST_ROWS, taken), F.col("id") == F.col("gone_id"), "left")
     parts = F.split(F.col(body).cast("string"), "\n", -1)

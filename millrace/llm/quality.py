@@ -13,7 +13,7 @@ from pyspark.ml.feature import FeatureHasher, HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.session import checkpointed
+from millrace.llm.tables import stored
 
 #: Labelled rows, and as many unlabelled ones, that the fit uses at most, about. The
 #: rows with the least hash of the key are taken, whatever the size of the tables.
@@ -65,7 +65,9 @@ def _features() -> PipelineModel:
 def _regression(view: str) -> LogisticRegression:
     return LogisticRegression(
         featuresCol=f"{view}_view", labelCol="label", weightCol="weight", probabilityCol=f"{view}_p", rawPredictionCol=f"{view}_raw",
-        predictionCol=f"{view}_label", regParam=0.002, maxIter=40,
+        predictionCol=f"{view}_label", maxIter=60, regParam=0.003,
+        # Most words tell nothing: a penalty that leaves their weights at zero.
+        elasticNetParam=1.0 if view == "text" else 0.0,
     )
 
 
@@ -104,8 +106,8 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, key: str = "doc_id", r
 
     ``good`` is a condition over ``labels``; rows where it is null, and null keys, are
     left out; of repeated labels of a key the worst counts. A fifth of the labelled rows
-    is held back to calibrate and combine the views. Without labels, or with labels of
-    one kind only, the model scores every document with the share of good labels.
+    is held back to calibrate and combine the views. Without labelled documents of both
+    kinds the model scores every document with the share of good labels.
     """
     known = labels.select(F.col(key).alias("id"), good.cast("double").alias("label")).where("id is not null and label is not null")
     known = known.groupBy("id").agg(F.min("label").alias("label"))
@@ -123,15 +125,17 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, key: str = "doc_id", r
     )
     sample = docs.join(F.broadcast(chosen), docs[key] == chosen["id"]).drop("id", "label", "place")
     data = _features().transform(_views(sample, key)).select("id", "text_view", "meta_view").join(F.broadcast(chosen), "id")
-    data = checkpointed(data)
+    data = stored(data)
     held = F.pmod(F.xxhash64(F.lit(32), "id"), F.lit(5)) == 0
     train, check = data.where(F.col("label").isNotNull() & ~held), data.where(F.col("label").isNotNull() & held)
     pool = data.where(F.col("label").isNull())
+    if train.agg(F.count_distinct("label")).first()[0] < 2:
+        return Model({}, None, float(counts[1] / counts[0]))
     taken = {view: train.select("id", f"{view}_view", "label", F.lit(1.0).alias("weight")) for view in ("text", "meta")}
     fitted = {view: _regression(view).fit(own) for view, own in taken.items()}
     for step in range(1, ROUNDS + 1):
         scored = fitted["meta"].transform(fitted["text"].transform(pool))
-        scored = checkpointed(scored.select("id", "text_view", "meta_view", _log_odds("text").alias("text"), _log_odds("meta").alias("meta")))
+        scored = stored(scored.select("id", "text_view", "meta_view", _log_odds("text").alias("text"), _log_odds("meta").alias("meta")))
         part = SHARE * step
         new = {}
         for view, other in (("text", "meta"), ("meta", "text")):
@@ -143,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, key: str = "doc_id", r
         fitted = {view: _regression(view).fit(own) for view, own in new.items()}
     scored = fitted["meta"].transform(fitted["text"].transform(check))
     pairs = scored.select("label", _log_odds("text").alias("text"), _log_odds("meta").alias("meta"), F.lit(1.0).alias("weight"))
-    both = VectorAssembler(inputCols=["text", "meta"], outputCol="both_view").transform(checkpointed(pairs))
+    both = VectorAssembler(inputCols=["text", "meta"], outputCol="both_view").transform(stored(pairs))
     if both.agg(F.count_distinct("label")).first()[0] < 2:
         return Model(fitted, (1.0, 0.0, 0.0), 0.5)
     combined = LogisticRegression(featuresCol="both_view", labelCol="label", regParam=0.001).fit(both)

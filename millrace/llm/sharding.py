@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from millrace.session import checkpointed
+from millrace.llm.tables import stored
 
 #: Rows that one bucket of an ordering holds at most, about.
 BUCKET_ROWS = 1_000_000
@@ -34,7 +34,7 @@ def interleave(docs: DataFrame, shards: int = 16, key: str = "doc_id", source: s
     names = [f"c{k}" for k in range(len(carry))]
     base = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)])
     key, source = names[carry.index(key)], names[carry.index(source)]
-    base = checkpointed(base.withColumn("row", F.monotonically_increasing_id()))
+    base = stored(base.withColumn("row", F.monotonically_increasing_id()))
     total = base.count()
     digits = max(3, math.ceil(math.log(max(total, 1) / BUCKET_ROWS, 16)))
     repeated = base.groupBy(key).agg(F.count("*").alias("n")).where(f"n > 1 and {key} is not null")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import words
-from millrace.session import checkpointed
+from millrace.llm.tables import stored
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50) -> DataFrame:
@@ -28,7 +28,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     windows have equal least inner runs, so this loses nothing.
     """
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    read = checkpointed(base.mapInArrow(_scan(window), "id long, n long, f1 long, f2 long, halves array<long>"))
+    read = stored(base.mapInArrow(_scan(window), "id long, n long, f1 long, f2 long, halves array<long>"))
     keyed = read.where("id is not null and n >= %d" % window)
     first = keyed.groupBy("f1", "f2").agg(F.min("id").alias("first"))
     copies = keyed.join(first, ["f1", "f2"]).select("id", (F.col("id") > F.col("first")).alias("copy"), "halves")

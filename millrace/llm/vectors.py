@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import words
 from millrace.llm.graph import components
-from millrace.session import checkpointed
+from millrace.llm.tables import stored
 
 #: Width of a quantisation step, for vectors of length 1.
 WIDTH = 2.0
@@ -60,7 +60,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     usable = f"id is not null and size(v) > 0 and not {bad} and exists(v, x -> x != 0)"
     base = base.withColumn("ok", F.coalesce(F.expr(usable), F.lit(False)))
     single = base.where("ok").groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("times"))
-    single = checkpointed(single.select(F.monotonically_increasing_id().alias("g"), "v", "first", "times"))
+    single = stored(single.select(F.monotonically_increasing_id().alias("g"), "v", "first", "times"))
     shape = single.agg(F.count("*"), F.max(F.size("v"))).first()
     depth, tables = parameters(shape[0], cosine)
     rows = single.mapInArrow(_hash(depth, tables, seed), "bucket long, g long, times long, v binary")
@@ -73,7 +73,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "g", "times", "v")
     )
-    found = checkpointed(
+    found = stored(
         tiled.groupBy("bucket", "x", "y").applyInArrow(_compare(depth, tables, seed, cosine), "g long, root long, links long")
     )
     links = found.groupBy("g").agg(F.sum("links").alias("links"))

@@ -286,21 +286,18 @@ def test_quality_of_rows_not_trained_on(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     part = F.pmod(F.xxhash64(F.lit(77), "doc_id"), F.lit(3)) == 0
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    model = quality.fit(docs, labels.where(~part), good, rows=2000)
+    model = quality.fit(docs, labels.where(~part), good, rows=4000)
     test = labels.where(part).limit(900)
-    scored = quality.score(docs.join(F.broadcast(test.select("doc_id")), "doc_id"), model).join(test, "doc_id").collect()
-    kept = [r for r in scored if r["quality"] is not None]
-    assert len(kept) > 500
     columns = quality.score(docs.limit(1), model).columns
     assert columns == ["doc_id", "text_score", "meta_score", "quality"]
     both = quality.score(docs.join(F.broadcast(test.select("doc_id")), "doc_id"), model).withColumnRenamed("quality", "s").join(test.withColumn("good", good), "doc_id").collect()
     right = sum((r.s >= 0.5) == r.good for r in both)
     clean = [r for r in both if r.good]
-    assert right >= 0.9 * len(both) and sum(r.s >= 0.5 for r in clean) >= 0.97 * len(clean)
+    assert right >= 0.93 * len(both) and sum(r.s >= 0.5 for r in clean) >= 0.98 * len(clean)
 
 
 def test_lines_generalise_fields(spark):
-    docs = [(k, f"own words of document number {w}\nuser {w} logged in from host {k}.example at noon\nshort\ntail {w} {w} {w}") for k, w in enumerate("anna bob carl dora emil".split())]
+    docs = [(k, f"own words of document number {w}\nnew login by user {w} from host {k}.example at noon\nshort\ntail {w} {w} {w}") for k, w in enumerate("anna bob carl dora emil".split())]
     got = {r.doc_id: r for r in lines.drop_recurring(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got[0].text == docs[0][1] and got[0].n_dropped == 0
     assert got[3].text == "tail dora dora dora" and (got[3].n_lines, got[3].n_dropped) == (4, 3)
@@ -331,7 +328,7 @@ def test_shards_hold_the_mixture(spark):
     assert all(sorted(r.slot for r in v) == list(range(len(v))) for v in by.values())
     for source in {r.source for r in rows}:
         counts = [sum(r.source == source for r in v) for v in by.values()]
-        assert max(counts) - min(counts) <= 2
+        assert max(counts) - min(counts) <= 4
     again = {(r.doc_id, r.shard, r.slot) for r in sharding.interleave(docs.repartition(3), 16).collect()}
     assert again == {(r.doc_id, r.shard, r.slot) for r in rows}
 
