@@ -1,8 +1,9 @@
 """Lines that recur across documents with other values in their variable fields.
 
 A log-template tree of fixed depth: lines are parted by their number of words and their
-leading words. Within a leaf, a word that enough documents have at a place is part of
-the template there, any other word is a variable field.
+leading words. Within a leaf, a word at a place where enough documents have it is part of the
+template, any other word is a variable field. (A document counts for each of its
+different lines.)
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ FIELD = "<*>"
 
 def _plain(line: Column) -> Column:
     """A line's words with one space between them; one with a digit is a field."""
-    odd = line.rlike("[0-9\\t\\r\\x0B\\f]|  |^ | $")
+    odd = line.rlike("[0-9\\t\\r\\x0B\\f]") | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
     masked = F.regexp_replace(line, "[^ \\t\\r\\x0B\\f]*[0-9][^ \\t\\r\\x0B\\f]*", FIELD)
     return F.when(odd, F.trim(F.regexp_replace(masked, "[ \\t\\r\\x0B\\f]+", " "))).otherwise(line)
 
@@ -52,34 +53,32 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     each = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
     each = each.select("id", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    each = each.select("id", "at", _plain(F.col("line")).alias("line")).where("line != ''")
+    # Asked of the raw line: a condition on its plain form would work that out twice.
+    each = each.where(F.col("line").rlike("[^ \\t\\r\\x0B\\f]")).select("id", "at", _plain(F.col("line")).alias("line"))
     each = each.select("id", "at", "line", _leaf(F.col("line")).alias("leaf"))
     reach = each.groupBy("leaf", "id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("n"))
     reach = stored(reach.where(f"n >= {DOCUMENTS}").select("leaf"))
     lines = each.join(bounded(reach, BROADCAST_ROWS), "leaf")
-    lines = stored(lines.select("leaf", "id", "at", F.transform(F.split("line", " "), lambda w: F.hash(w)).alias("words")))
-    spread = lines.select("leaf", "id", "at", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
-    common = (
-        spread.groupBy("leaf", "place", "word", "id")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("leaf", "place", "word")
-        .agg(F.count("*").alias("n"))
-        .where(f"n >= {DOCUMENTS}")
-        .select("leaf", "place", "word")
-    )
+    words = F.transform(F.split("line", " "), lambda w: F.hash(w))
+    lines = stored(lines.select("leaf", F.xxhash64("line").alias("line"), "id", "at", words.alias("words")))
+    # From here on a line's words are looked at once, however many documents have it.
+    owners = lines.groupBy("leaf", "line", "id").agg(F.lit(1).alias("one")).groupBy("leaf", "line").agg(F.count("*").alias("n"))
+    single = lines.groupBy("leaf", "line").agg(F.first("words").alias("words")).join(owners, ["leaf", "line"])
+    spread = stored(single).select("leaf", "line", "n", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
+    common = spread.groupBy("leaf", "place", "word").agg(F.sum("n").alias("docs")).where(f"docs >= {DOCUMENTS}")
     fixed = spread.join(common, ["leaf", "place", "word"])
     # Fixed words add up to the template: which, where, how many of how many.
     templates = (
-        fixed.groupBy("leaf", "id", "at", "size")
+        fixed.groupBy("leaf", "line", "size")
         .agg(
             F.count("*").alias("fixed"),
             F.sum(F.xxhash64("place", "word").bitwiseAND(F.lit((1 << 40) - 1))).alias("h"),
             F.bit_xor(F.xxhash64("word", "place")).alias("x"),
         )
         .where(f"fixed >= {FIXED} * size")
-        .select("id", "at", F.xxhash64("leaf", "fixed", "h", "x").alias("template"))
+        .select("leaf", "line", F.xxhash64("leaf", "fixed", "h", "x").alias("template"))
     )
-    templates = stored(templates)
+    templates = stored(lines.select("leaf", "line", "id", "at").join(templates, ["leaf", "line"]).select("id", "at", "template"))
     recurring = (
         templates.groupBy("template", "id")
         .agg(F.min("at").alias("at"))

@@ -65,8 +65,11 @@ WITH ln AS (
     SELECT leaf FROM e GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3
 ), t AS (
     SELECT doc_id, pos, size, leaf, unnest(ws) AS word, unnest(range(size)) AS place FROM e WHERE leaf IN (FROM often)
+), own AS (
+    SELECT leaf, ws, count(DISTINCT doc_id) AS n FROM e WHERE leaf IN (FROM often) GROUP BY ALL
 ), common AS (
-    SELECT leaf, place, word FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3
+    SELECT leaf, place, word FROM (SELECT leaf, n, unnest(ws) AS word, unnest(range(len(ws))) AS place FROM own)
+    GROUP BY ALL HAVING sum(n) >= 3
 ), tpl AS (
     SELECT doc_id, pos, leaf || '|' || string_agg(place || '=' || word, ' ' ORDER BY place) AS template
     FROM t JOIN common USING (leaf, place, word) GROUP BY doc_id, pos, leaf, size HAVING count(*) >= 0.6 * size
