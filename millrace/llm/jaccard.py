@@ -27,6 +27,10 @@ from millrace.llm.tables import bounded, stored
 MINIMA, SHARED = 32, 6
 #: Keys of indexed sets that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Turns of checking each set against one likely partner.
+TURNS = 3
+#: Stands for a set of which no segment is passed over.
+EVERY = -(1 << 40)
 #: Segments of a band, as multiples of the fewest that can do.
 FACTORS = (1.0, 1.15, 1.3, 1.6, 2.2, 4.0, 16.0)
 
@@ -79,46 +83,55 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of ``sets`` (``id, n, shingles``) that suffice to connect all
     sets which links connect.
 
-    First each set is checked against one likely partner, the smallest key in most of
-    its segments. Then all pairs which meet in a segment and are not yet connected are
-    checked. A set needs to be met in a fixed number of segments only, so the ones that
-    most other sets share are passed over.
+    In a few turns each set is checked against one likely partner that it isn't yet
+    connected with: of the sets that stand for its segments the one it meets most. This
+    joins large groups without looking at all their pairs. Then all pairs are checked
+    which meet in a segment and are still not connected. A set must be met in a fixed
+    number of segments, so the ones that most other sets share are passed over, and a
+    pair must meet in all of these but the few in which it can differ.
     """
     plan = allocation(sets, percent)
     index = sets.mapInArrow(_signatures(plan, percent), "sig long, id long, n long, own boolean, spare long")
     often = index.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1")
     index = stored(index.join(often, "sig"))
-    centre = index.groupBy("sig").agg(F.min("id").alias("c"))
-    likely = (
-        index.join(centre, "sig")
-        .where("id != c")
-        .groupBy("id", "c")
-        .agg(F.count("*").alias("meet"))
-        .groupBy("id")
-        .agg(F.max_by("c", F.struct("meet", F.negate("c"))).alias("c"))
-        .select(F.col("id").alias("a"), F.col("c").alias("b"))
-    )
-    stars = stored(verified(likely, sets, percent))
-    known = components(stars).withColumnRenamed("node", "id")
-    placed = index.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    placed = stored(placed.join(mixed.select("sig"), "sig"))
+    placed, links = index.withColumn("component", F.col("id")), None
+    for turn in range(TURNS):
+        order = F.xxhash64(F.lit(turn), "id") if turn else F.col("id")
+        centre = placed.groupBy("sig").agg(*[F.min_by(c, order).alias(f"c_{c}") for c in ("id", "n", "component")])
+        likely = (
+            placed.join(centre, "sig")
+            .where(f"component != c_component and least(n, c_n) * 100 >= greatest(n, c_n) * {int(percent)}")
+            .groupBy("id", "c_id")
+            .agg(F.count("*").alias("meet"))
+            .groupBy("id")
+            .agg(F.max_by("c_id", "meet").alias("b"))
+        )
+        found = stored(verified(likely.withColumnRenamed("id", "a"), sets, percent))
+        links = found if links is None else links.unionByName(found)
+        known = components(links).withColumnRenamed("node", "id")
+        placed = index.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+        placed = stored(placed.join(mixed.select("sig"), "sig"))
+        index = placed.drop("component")
     by_set = Window.partitionBy("id")
     small = (
         placed.where("own")
         .withColumn("rank", F.row_number().over(by_set.orderBy("many", "sig")))
         .withColumn("all", F.count("*").over(by_set))
         .where("rank <= all - spare")
-        .select("sig", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+        .select("sig", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.expr("spare < 0").alias("any"))
     )
     large = placed.select("sig", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    differ = f"(na + nb) * {100 - int(percent)} div {100 + int(percent)}"
     rest = (
         small.join(large, "sig")
         .where(f"ca != cb and (na < nb or (na = nb and a < b)) and na * 100 >= nb * {int(percent)}")
+        .groupBy("a", "b", "na", "nb", "any")
+        .agg(F.count("*").alias("meet"))
+        .where(f"any or meet >= na * {100 - int(percent)} div {int(percent)} + 1 - {differ}")
         .select("a", "b")
-        .distinct()
     )
-    return stars.unionByName(verified(rest, sets, percent))
+    return links.unionByName(verified(rest, sets, percent))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -276,7 +289,8 @@ def _signatures(plan: dict[int, tuple[int, bool]], percent: int):
                     if b not in plan:
                         continue
                     found, units = one(shingles, b)
-                    spare = 0 if plan[b][1] else units - _needed(n, percent)
+                    # With shingles left out a segment has several contents, and none is passed over.
+                    spare = EVERY if plan[b][1] else units - _needed(n, percent)
                     for out, value in ((ids, key), (sizes, n), (owns, b == band), (spares, spare)):
                         out.append(np.full(len(found), value))
                     sigs.append(found)
