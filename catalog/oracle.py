@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.queries import AS_OF_INDEX, AS_OF_US
+from catalog.queries import AS_OF_INDEX, AS_OF_US, TWINS
 from catalog.telemetry import JOINED_SQL, TEL_SQL
 from millrace import constants as K
 from millrace.operators.evaluate import FACTOR, PRIME
@@ -218,7 +218,7 @@ def _alerts() -> str:
         for m in ("availability", "performance", "quality")
     )
     rules = ", ".join(
-        f"({text(m)}, {limit!r}::DOUBLE, {text(advice)})" for m, limit, _, advice in K.ALERT_RULES
+        f"({text(m)}, {limit!r}::DOUBLE, {text(advice)})" for m, limit, advice in K.ALERT_RULES
     )
     return f"""WITH {TEL_SQL}, hidden AS ({HIDDEN.format(source='tel')}), {kpis('tel')},
 all_scored AS (SELECT line_id, {scores}, row_number() OVER {OVER} - 1 AS idx FROM hidden),
@@ -303,7 +303,15 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
     )
     healths = [f"round({health(K.temperature(d))}, 6)" for d in K.DRIVES]
     window_us = 600_000_000
-    return {
+    # The test rows of the split, and what any classifier's scores must be like.
+    score_facts = (
+        f"{with_tel}, labelled AS (SELECT {KEYS}, {LABEL} AS {K.LABEL} FROM tel), "
+        f"split AS (SELECT *, row_number() OVER (PARTITION BY {K.LABEL} ORDER BY {HASH}, event_id) "
+        f"<= round(2e-1 * count(*) OVER (PARTITION BY {K.LABEL})) AS is_test FROM labelled) "
+        f"SELECT {KEYS}, {K.LABEL}, {len(K.CLASS_NAMES)}::INT AS n_classes, 1e0 AS total, "
+        "TRUE AS is_likeliest, TRUE AS in_range FROM split WHERE is_test"
+    )
+    found = {
         "load_raw": f"{with_tel} SELECT line_id::DOUBLE AS line_id, {us_text.format(3)} AS _time, "
         f"{CYC}, {K.CYCLE_STATE}, Description FROM tel",
         "load_workbooks": f"{with_tel} SELECT line_id::DOUBLE AS line_id, {us_text.format(2)} AS _time, "
@@ -477,6 +485,8 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         "stratified_split": f"{with_tel}, labelled AS (SELECT event_id, {LABEL} AS {K.LABEL} FROM tel) "
         f"SELECT event_id, {K.LABEL}, (row_number() OVER (PARTITION BY {K.LABEL} ORDER BY {HASH}, event_id) "
         f"<= round(2e-1 * count(*) OVER (PARTITION BY {K.LABEL})))::INT AS is_test FROM labelled",
+        "train_score": score_facts,
+        "boosted_score": score_facts,
         "feature_matrix": f"{with_tel} SELECT event_id, "
         + ", ".join(
             f"coalesce({c}, 0e0) AS {c}"
@@ -498,3 +508,4 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         "stream_unify": f"{with_tel} SELECT {KEYS}, t_us, {K.STOPPER1}, {ES}, {CYC}, Description FROM tel "
         "WHERE event_id % 41 NOT BETWEEN 1 AND 3",
     }
+    return found | {f"{name}_sharded": found[name] for name in TWINS}

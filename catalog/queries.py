@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,6 +27,28 @@ AS_OF_INDEX = 60
 AS_OF_US = 8_526_000_000_000
 
 _queries: dict[str, Query] = {}
+_small: ContextVar[bool] = ContextVar("small", default=False)
+# Queries over whole lines that are registered a second time over small shards.
+TWINS = (
+    "lag_status",
+    "transit_events",
+    "transit_time_whole_seconds",
+    "joint_velocity",
+    "rolling_mean10",
+    "rolling_std10",
+    "rolling_transit50",
+    "trailing_history",
+    "trailing_transits",
+    "row_at_index",
+    "robot_health",
+    "kpi_avg_transit",
+    "kpi_defect_cycles",
+    "esg_energy",
+    "esg_current_power",
+    "esg_carbon",
+    "esg_carbon_shares",
+    "running_energy",
+)
 
 
 def query(build: Query) -> Query:
@@ -34,10 +57,24 @@ def query(build: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    return _queries | {f"{name}_sharded": _over_shards(_queries[name]) for name in TWINS}
+
+
+def _over_shards(build: Query) -> Query:
+    """The same query with lines cut into small shards."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        before = _small.set(True)
+        try:
+            return build(spark, sf_dir)
+        finally:
+            _small.reset(before)
+
+    return run
 
 
 def series(spark, sf_dir, small: bool = False) -> Sharded:
+    small = small or _small.get()
     return shard(tel(spark, sf_dir), rows_per_shard=SMALL_SHARD if small else None)
 
 
@@ -785,17 +822,40 @@ def _training_rows(spark, sf_dir) -> DataFrame:
 
 @query
 def train_score(spark, sf_dir):
-    """Fit on the training rows, store and reload the model, score the rest."""
+    """Fit on the training rows, store and reload the model, score the rest.
+
+    Returned is what must hold whatever the fitted trees are: which rows are scored,
+    that their class probabilities add up to 1, and that the class is the likeliest.
+    """
     rows = _training_rows(spark, sf_dir)
     model = training.train(rows.where(~F.col("is_test")))
     path = scratch(spark, "model")
     training.save(model, path)
     scored = training.score(training.load(path), rows.where("is_test"))
-    shares = [
-        F.round(F.col("probabilities")[n], 6).alias(f"p{n}")
-        for n in range(len(K.CLASS_NAMES))
-    ]
-    return scored.select(*KEYS, K.LABEL, "prediction", *shares)
+    return _score_facts(scored)
+
+
+@query
+def boosted_score(spark, sf_dir):
+    """The same for one-against-rest boosted trees, small ones."""
+    rows = _training_rows(spark, sf_dir)
+    small = training.classifier("boosted")
+    small.setClassifier(small.getClassifier().setMaxIter(3).setMaxDepth(3))
+    model = training.train(rows.where(~F.col("is_test")), estimator=small)
+    return _score_facts(training.score(model, rows.where("is_test")))
+
+
+def _score_facts(scored: DataFrame) -> DataFrame:
+    shares, best = F.col("probabilities"), F.array_max("probabilities")
+    total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
+    return scored.select(
+        *KEYS,
+        K.LABEL,
+        F.size(shares).alias("n_classes"),
+        F.round(total, 6).alias("total"),
+        (F.element_at(shares, F.col("prediction") + 1) == best).alias("is_likeliest"),
+        F.forall(shares, lambda p: p.between(0.0, 1.0)).alias("in_range"),
+    )
 
 
 # ---- Streams -------------------------------------------------------------

@@ -116,36 +116,31 @@ SCENARIOS = {
     },
 }
 
-# (metric, lower limit, meaning, advice); an alert fires when value < limit
+# (metric, lower limit, advice); an alert fires when value < limit
 ALERT_RULES = (
     (
         "availability",
         0.90,
-        "Frequent emergency stops or safety doors are being opened.",
         "Check if safety door limit switches are loose or audit operator movement around the cell.",
     ),
     (
         "performance",
         0.85,
-        "Conveyor Segment 2 cycle times are consistently above 15.5s.",
         "Check Station 2 conveyor rollers for mechanical drag and verify drive belt tension.",
     ),
     (
         "quality",
         0.98,
-        "The defect model is flagging multiple defect assemblies.",
         "Inspect the upstream nose-cone loading feeder and check part alignment sensors.",
     ),
     (
         "robot_health",
         60.0,
-        "Gripper vibrations or loads are unusually high.",
         "Inspect pneumatic gripper seals, check air line pressures, and re-grease robot joints.",
     ),
     (
         "vfd_health",
         50.0,
-        "Drive motor temperature is running hot (> 82°C).",
         "Clean the VFD cooling cabinet air filters and make sure exhaust fans are working properly.",
     ),
 )

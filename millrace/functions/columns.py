@@ -7,6 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace import constants as K
 
 
+# A full date, T or a blank, a full time, perhaps fractions and a zone.
+WHOLE_TIME = (
+    r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?"
+    r"\s*(Z|UTC|[+-][0-9]{2}(:?[0-9]{2})?)?\s*$"
+)
+
+
 def with_exprs(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     """Add or replace columns given as SQL text, in one projection.
 
@@ -48,12 +55,13 @@ def is_zero(column: str) -> Column:
 def parse_time(text: Column) -> Column:
     """Instant from ISO text with or without milliseconds.
 
-    One cast reads every accepted form, also microseconds or a blank instead
-    of T, and honours the zone letter, so the result does not follow the
-    session zone. Unreadable text gives NULL. Trying explicit patterns one
-    after another costs an exception per miss.
+    The text must hold a whole date and time; a cast alone would also read a bare
+    year, or a bare time as of today. One cast reads every accepted form, also
+    microseconds or a blank instead of T, and honours the zone letter, so the result
+    does not follow the session zone. Other text gives NULL. Trying explicit patterns
+    one after another costs an exception per miss.
     """
-    return text.try_cast("timestamp")
+    return F.when(text.rlike(WHOLE_TIME), text.try_cast("timestamp"))
 
 
 def downtime() -> Column:

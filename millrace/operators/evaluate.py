@@ -10,7 +10,8 @@ from millrace import constants as K
 # into pieces; only the piece a class's cut falls into is ranked row by row.
 PRIME, FACTOR = 2_147_483_647, 1_103_515_245
 PIECES = 65_536
-MAX_CLASSES = 1_000
+# Cuts of this many classes are broadcast; more are joined with a shuffle.
+BROADCAST_CLASSES = 100_000
 
 
 def hashed(column: str, seed: int = K.SPLIT_SEED) -> Column:
@@ -30,10 +31,12 @@ def stratified_split(
     The test rows are the first ones in the order (hash, key), which is total
     for a unique key. Counts per piece of the hash range say in which piece the
     cut lies; earlier pieces are test, later ones are not, and only the rows of
-    that one piece are ranked. The driver gets one row per class.
+    that one piece are ranked. Rows without a key come last in that order, in a
+    piece of their own. The cuts stay a table, one row per class.
     """
     # Keep the key's pieces as integers: the hash is below 2**31.
     piece = F.floor(hashed(key, seed) * PIECES / F.lit(PRIME)).cast("int")
+    piece = F.coalesce(piece, F.lit(PIECES))
     counts = (
         df.groupBy(F.col(label).alias("_class"), piece.alias("_piece"))
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -49,25 +52,22 @@ def stratified_split(
             F.min("_piece").alias("_cut"),
             F.min_by(F.col("_take") - F.col("_upto") + F.col("_n"), "_piece").alias("_rest"),
         )
-        .limit(MAX_CLASSES + 1)
-        .collect()
     )
-    if len(cuts) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    cut, rest = F.lit(None).cast("int"), F.lit(None).cast("long")
-    for row in cuts:
-        same = F.col(label).eqNullSafe(F.lit(row["_class"]))
-        cut = F.when(same, row["_cut"]).otherwise(cut)
-        rest = F.when(same, row["_rest"]).otherwise(rest)
-    placed = df.withColumns({"_piece": piece, "_cut": cut, "_rest": rest})
+    if cuts.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
+        cuts = F.broadcast(cuts)
+    placed = df.withColumn("_piece", piece).join(
+        cuts, F.col(label).eqNullSafe(F.col("_class")), "left"
+    )
     settled = placed.where(F.col("_piece") != F.col("_cut")).withColumn(
         "is_test", F.col("_piece") < F.col("_cut")
     )
-    within = Window.partitionBy(label).orderBy(hashed(key, seed), key)
+    within = Window.partitionBy(label).orderBy(
+        F.col(key).isNull(), hashed(key, seed), key
+    )
     ranked = placed.where(F.col("_piece") == F.col("_cut")).withColumn(
         "is_test", F.row_number().over(within) <= F.col("_rest")
     )
-    return settled.unionByName(ranked).drop("_piece", "_cut", "_rest")
+    return settled.unionByName(ranked).drop("_piece", "_class", "_cut", "_rest")
 
 
 def time_split(

@@ -15,6 +15,7 @@ from millrace.functions.columns import (
     interpolated_drive2,
     with_exprs,
 )
+from millrace.sources.layers import DAY
 from millrace.operators.shards import (
     HALO,
     SHARD,
@@ -353,8 +354,11 @@ def up_to_index(sharded: Sharded, index: int) -> Sharded:
 
 
 def up_to_time(df: DataFrame, time_us: int, column: str = "t_us") -> DataFrame:
-    """All rows up to an instant; on a stored layer the filter reaches the scan."""
-    return df.where(F.col(column) <= time_us)
+    """All rows up to an instant; on a stored layer later days are not listed."""
+    rows = df.where(F.col(column) <= time_us)
+    if DAY in df.columns and column == "t_us":
+        rows = rows.where(F.col(DAY) <= F.to_date(F.timestamp_micros(F.lit(time_us))))
+    return rows
 
 
 def trailing_history(

@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from millrace.session import checkpointed
 
 ROWS_PER_SHARD = 1_000_000
-MAX_SHARDS = 100_000
 # Cut points are chosen from about this many sampled rows per shard. The sample
 # only decides where the cuts lie; every row goes to a shard.
 SAMPLES_PER_SHARD = 50
@@ -39,7 +38,6 @@ BROADCAST_PAIRS = 250_000
 
 SHARD = "shard"
 HALO = "is_halo"
-_LEVEL = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -98,8 +96,9 @@ def shard(
     its own (a stored layer) keeps it.
 
     Runs one narrow job for the row count, and one per level of cuts if the
-    table is larger than a shard. The driver gets the cut points only, at most
-    ``MAX_SHARDS``. The cuts are constants of the plan, so a task that runs
+    table is larger than a shard. The driver gets the cut points only, one per
+    shard. Tie columns may be numbers or text; of text the first six bytes place
+    the cuts. The cuts are constants of the plan, so a task that runs
     again after a lost executor puts its rows where they were.
     """
     if SHARD in df.columns:
@@ -108,13 +107,13 @@ def shard(
     limit = rows_per_shard or ROWS_PER_SHARD
     time = F.col(series.time)
     total, low, high = df.agg(F.count(F.lit(1)), F.min(time), F.max(time)).first()
-    pieces = min(MAX_SHARDS, math.ceil(total / limit))
+    pieces = math.ceil(total / limit)
     if pieces <= 1:
         return Sharded(df.withColumn(SHARD, F.lit(0).cast("long")), series, single=True)
 
     slot = F.pmod(F.xxhash64(F.col(series.line)), F.lit(LINE_SLOTS)).cast("double")
     levels = [slot + (time - F.lit(low)) / F.lit(float(high - low + 1))]
-    levels += [F.col(c).cast("double") for c in series.order]
+    levels += [_axis(df, c) for c in series.order]
     probabilities = [i / pieces for i in range(1, pieces)]
     fraction = min(1.0, SAMPLES_PER_SHARD * pieces / total)
     number, hot = F.lit(0).cast("long"), None
@@ -136,7 +135,7 @@ def shard(
         bucket = F.col("_bucket").cast("long")
         if hot is not None:
             bucket = F.when(hot, bucket).otherwise(F.lit(0))
-        df = df.withColumn("_number", number * _LEVEL + bucket)
+        df = df.withColumn("_number", number * (len(edges) + 2) + bucket)
         number = F.col("_number")
         if not repeated:
             break
@@ -147,6 +146,14 @@ def shard(
     return Sharded(df, series, single=False)
 
 
+def _axis(df: DataFrame, column: str) -> Column:
+    """A column as a number in the same order, for placing cuts."""
+    if df.schema[column].dataType.typeName() != "string":
+        return F.col(column).cast("double")
+    head = F.hex(F.substring(F.col(column).cast("binary"), 1, 6))
+    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+
+
 def carry(
     sharded: Sharded, summary: DataFrame, folded: dict[str, Column]
 ) -> DataFrame:

@@ -83,7 +83,7 @@ def metrics_long(df: DataFrame, keys: list[str]) -> DataFrame:
 def rule_alerts(metrics: DataFrame) -> DataFrame:
     """Advice for every metric below its limit (five fixed rules)."""
     rules = metrics.sparkSession.createDataFrame(
-        list(K.ALERT_RULES), "metric string, limit double, meaning string, advice string"
+        list(K.ALERT_RULES), "metric string, limit double, advice string"
     )
     return metrics.join(F.broadcast(rules), "metric").where(
         F.col("value") < F.col("limit")

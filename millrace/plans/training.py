@@ -88,11 +88,21 @@ def model_features(model: PipelineModel) -> list[str]:
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``prediction`` and, where the model has them, ``probabilities``."""
+    """Add ``prediction`` and ``probabilities``, one for each class.
+
+    One-against-rest models have a score for each class; their probabilities are the
+    binary models' ones, made to add up to 1. The class is the likeliest.
+    """
     scored = model.transform(feature_matrix(df, model_features(model)))
     scored = scored.withColumn("prediction", F.col("prediction").cast("int"))
     if "probability" in scored.columns:
         scored = scored.withColumn("probabilities", vector_to_array("probability"))
+    else:
+        # The boosted trees' probability of a score s is 1 / (1 + exp(-2 s)).
+        raw = F.transform(vector_to_array("rawPrediction"), lambda s: 1 / (1 + F.exp(-2 * s)))
+        total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+        scored = scored.withColumn("probabilities", raw)
+        scored = scored.withColumn("probabilities", F.transform("probabilities", lambda p: p / total))
     return scored.drop("features", "rawPrediction", "probability")
 
 

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace import constants as K
 from millrace.functions.columns import coerce_numeric
 from millrace.sources.workbook import read_workbooks
 
-# First bytes of a workbook, which is a zip archive.
-WORKBOOK_MAGIC = b"PK\x03\x04"
-# A ``.csv`` above this size is taken to be what it says; only smaller files
-# are opened to look for a mislabelled workbook. A full sheet is well below it.
-SNIFF_LIMIT_BYTES = 256 * 1024 * 1024
+# First bytes of a workbook, which is a zip archive, and of a Parquet file.
+WORKBOOK_MAGIC, PARQUET_MAGIC = b"PK\x03\x04", b"PAR1"
+# A header line is looked for in this many first bytes of a file.
+HEAD_BYTES = 1 << 16
+
+
+# Blanks, tabs and line breaks become ``_``; what would need quoting goes.
+_HEADER = str.maketrans(dict.fromkeys(" \t\n\r", "_") | dict.fromkeys("()`."))
 
 
 def clean_name(name: str) -> str:
-    """Header text to column name: trimmed, blanks to ``_``, no parentheses."""
-    return name.strip().replace(" ", "_").replace("(", "").replace(")", "")
+    """Header text to column name, safe to use in SQL text."""
+    return name.strip().translate(_HEADER)
 
 
 def clean_headers(df: DataFrame) -> DataFrame:
@@ -30,92 +36,103 @@ def clean_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*cleaned)
 
 
-def find_workbooks(spark: SparkSession, path: str) -> list[str]:
-    """Paths of ``.csv`` files that are workbooks inside.
+def look_into(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, kind, header`` of every file, from its first bytes.
 
-    Returns file names, never contents, to the driver. Files too large to be
-    workbooks are ruled out by their listed length without being opened.
+    ``kind`` is ``workbook``, ``parquet``, ``json``, ``csv`` or ``unknown``, whatever
+    the file is called; compressed text is looked into as well. ``header`` is the first
+    line of a CSV. Tasks open the files; contents stay where they are.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .where(F.col("length") <= SNIFF_LIMIT_BYTES)
-    )
-    magic = F.substring("content", 1, len(WORKBOOK_MAGIC)) == F.lit(WORKBOOK_MAGIC)
-    return [r.path for r in files.where(magic).select("path").collect()]
-
-
-def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-    return [r.path for r in files.select("path").collect()]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path").mapInArrow(_heads, "path string, kind string, header string")
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            files, inner = fs.FileSystem.from_uri(path)
+            with files.open_input_stream(inner, compression="detect") as stream:
+                head = stream.read(HEAD_BYTES)
+            found.append((path, *_kind(head)))
+        columns = [pa.array([f[k] for f in found], pa.string()) for k in range(3)]
+        yield pa.RecordBatch.from_arrays(columns, ["path", "kind", "header"])
+
+
+def _kind(head: bytes) -> tuple[str, str | None]:
+    if head.startswith(WORKBOOK_MAGIC):
+        return "workbook", None
+    if head.startswith(PARQUET_MAGIC):
+        return "parquet", None
+    if b"\0" in head:
+        return "unknown", None
+    text = head.decode("utf-8", "replace").removeprefix("\ufeff").lstrip()
+    if text.startswith("{"):
+        return "json", None
+    return "csv", text.split("\n", 1)[0].rstrip("\r")
 
 
 def load_raw(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: list[str] | None = None,
     format: str | None = None,
 ) -> DataFrame:
     """One raw source as cleaned columns: text columns as text, others double.
 
-    ``format`` is ``csv``, ``json``, ``parquet`` or ``workbook``; by default it
-    follows the path's ending, and a ``.csv`` that is a workbook inside is read
-    as one. Say ``csv`` to skip looking into the files first. Workbooks need the
-    expected ``columns``, as does JSON. Unreadable numbers and NaN become NULL.
+    ``format`` is ``csv``, ``json``, ``parquet`` or ``workbook`` if all files are
+    alike. Without it each file is read as what its content is, CSV files by their own
+    headers, and the rows are put together by column name; a file that lacks a column
+    has NULLs there, an empty file has no rows, unknown content raises. ``columns``
+    are the expected cleaned names; workbooks and JSON need them, and with them the
+    result has just these. Unreadable numbers and NaN become NULL.
     """
-    sniff = format is None
-    format = format or _format_of(path)
-    if format == "parquet":
-        return coerce_numeric(clean_headers(spark.read.parquet(path)))
-    if format == "json":
-        if not columns:
-            raise ValueError("JSON needs the expected columns")
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        return coerce_numeric(clean_headers(spark.read.schema(schema).json(path)))
-    if format == "workbook":
-        return coerce_numeric(_workbooks(spark, path, columns))
-    books = find_workbooks(spark, path) if sniff else []
-    if not books:
-        return coerce_numeric(_csv(spark, path))
-    plain = sorted(set(list_files(spark, path, "*.csv")) - set(books))
-    parts = [_workbooks(spark, books, columns)]
-    if plain:
-        parts.append(_csv(spark, plain).select(*parts[0].columns))
-    first, *others = parts
+    if format:
+        return coerce_numeric(_expected(_read(spark, path, columns, format), columns))
+    groups = defaultdict(list)
+    for row in look_into(spark, path).collect():
+        if row.header != "":
+            groups[(row.kind, row.header)].append(row.path)
+    if not groups:
+        raise ValueError(f"no content in {path}")
+    strange = sorted(p for (kind, _), paths in groups.items() if kind == "unknown" for p in paths)
+    if strange:
+        raise ValueError(f"neither CSV, JSON, Parquet nor a workbook: {strange[:5]}")
+    parts = [_expected(_read(spark, paths, columns, kind), columns) for (kind, _), paths in sorted(groups.items(), key=str)]
+    first, *others = [coerce_numeric(p) for p in parts]
     for other in others:
-        first = first.unionByName(other)
-    return coerce_numeric(first)
+        first = first.unionByName(other, allowMissingColumns=True)
+    return first
 
 
-def _format_of(path: str) -> str:
-    name = path.rstrip("/").lower()
-    for ending, format in (
-        (".xlsx", "workbook"),
-        (".json", "json"),
-        (".jsonl", "json"),
-        (".parquet", "parquet"),
-    ):
-        if name.endswith(ending):
-            return format
-    return "csv"
+def _read(spark: SparkSession, path, columns: list[str] | None, format: str) -> DataFrame:
+    if format in ("json", "workbook") and not columns:
+        raise ValueError(f"{format} needs the expected columns")
+    if format == "workbook":
+        return read_workbooks(spark, path, columns, clean_name)
+    paths = [path] if isinstance(path, str) else path
+    if format == "parquet":
+        return clean_headers(spark.read.parquet(*paths))
+    if format == "json":
+        keyed = F.transform_keys(F.from_json("value", "map<string,string>"), lambda k, v: _clean(k))
+        rows = spark.read.text(paths).where("trim(value) != ''").select(keyed.alias("row"))
+        return rows.select(*[F.try_element_at("row", F.lit(c)).alias(c) for c in columns])
+    if format == "csv":
+        # All columns as text; another header than the first file's is an error.
+        return clean_headers(spark.read.option("header", True).option("enforceSchema", False).csv(paths))
+    raise ValueError(f"unknown format: {format}")
 
 
-def _csv(spark: SparkSession, path) -> DataFrame:
-    """All columns as text; numbers are read by the coercion afterwards."""
-    return clean_headers(spark.read.option("header", True).csv(path))
+def _clean(name: Column) -> Column:
+    """:func:`clean_name` for a column of names."""
+    return F.translate(F.trim(name), " \t\n\r()`.", "____")
 
 
-def _workbooks(spark: SparkSession, path, columns: list[str] | None) -> DataFrame:
+def _expected(df: DataFrame, columns: list[str] | None) -> DataFrame:
     if not columns:
-        raise ValueError("workbooks need the expected columns")
-    return read_workbooks(spark, path, columns, clean_name)
+        return df
+    have = set(df.columns)
+    return df.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def mask(df: DataFrame, columns: tuple[str, ...] = K.MASKED_COLUMNS) -> DataFrame:

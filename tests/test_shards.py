@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 
 from millrace import constants as K
 from millrace.operators import kpi, ordered as O
-from millrace.operators.shards import SHARD, shard
+from millrace.operators.shards import SHARD, Series, shard
 
 STATUS = st.sampled_from([0.0, 1.0, None])
 ROW = st.tuples(
@@ -129,3 +129,13 @@ def test_only_needed_columns_are_read(spark, sf_dir):
 
     plan = plan_of(kpi.line_kpis(shard(tel(spark, sf_dir))).select("line_id", "availability"))
     assert "props" not in plan and "value" not in plan.split("ReadSchema")[1]
+
+
+def test_text_ties_and_two_ties_at_a_hot_instant(spark):
+    rows = [(0, 5 if k % 4 else k, k % 7, f"t{k:05d}") for k in range(4000)]
+    df = spark.createDataFrame(rows, "line_id long, t_us long, a long, b string")
+    for ties in (("b",), ("a", "b")):
+        cut = shard(df, Series(ties=ties), rows_per_shard=200).df
+        order = ["t_us", *ties]
+        got = [r.shard for r in cut.orderBy(*order).collect()]
+        assert got == sorted(got) and len(set(got)) > 10

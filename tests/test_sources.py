@@ -161,3 +161,40 @@ def test_run_over_raw_files(spark, sf_dir, tmp_path, limit):
     assert shown.count() == kept.count()
     assert shown.where(F.col(K.TRANSIT).isNull()).count() == 0
     assert os.path.isdir(tmp_path / "out" / "silver" / "integrated")
+
+
+def test_times_without_a_date_are_not_read(spark):
+    texts = ["12:30", "T12:30", "2024", "12345", "2024-08-13", "2024-08-13T14:00", "now"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(parse_time(F.col("t"))).collect()] == [None] * len(texts)
+
+
+def test_files_are_read_by_content(spark, tmp_path):
+    import gzip
+
+    names = ["_time", "A_x", "B"]
+    (tmp_path / "one.csv").write_text("_time,A (x),B\nt1,1,2\n")
+    (tmp_path / "two.csv").write_text("B,_time,A (x)\n20,t2,10\n")
+    (tmp_path / "three.csv.gz").write_bytes(gzip.compress(b"_time,A (x),B\nt3,3,4\n"))
+    (tmp_path / "four.txt").write_text('{"_time": "t4", "A (x)": 5, "other": 1}\n')
+    (tmp_path / "five.csv").write_text("")
+    spark.createDataFrame([("t6", 7.0, 8.0)], "_time string, A_x double, B double").write.parquet(str(tmp_path / "six"))
+    got = {tuple(r) for r in raw.load_raw(spark, str(tmp_path), names).collect()}
+    assert got == {("t1", 1.0, 2.0), ("t2", 10.0, 20.0), ("t3", 3.0, 4.0), ("t4", 5.0, None), ("t6", 7.0, 8.0)}
+    (tmp_path / "bad.csv").write_bytes(b"\x00\x01\x02")
+    with pytest.raises(ValueError):
+        raw.load_raw(spark, str(tmp_path), names)
+
+
+def test_compressed_text_beside_a_workbook(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "book.csv").write_bytes(book_bytes(pd.DataFrame({"_time": ["t1", "t2"], "A": [1.0, 2.0]})))
+    (tmp_path / "part.csv.gz").write_bytes(gzip.compress(b"_time,A\nt3,3\n"))
+    (tmp_path / "part.txt").write_text("_time,A\nt4,4\n")
+    rows = raw.load_raw(spark, str(tmp_path), ["_time", "A"]).collect()
+    assert {r["_time"]: r.A for r in rows} == {"t1": 1.0, "t2": 2.0, "t3": 3.0, "t4": 4.0}
+
+
+def test_headers_that_need_quoting(spark):
+    assert raw.clean_name(" A.b`c\td ") == "Abc_d"

@@ -5,6 +5,7 @@ from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClas
 from pyspark.sql import functions as F
 
 from millrace import constants as K
+from millrace.operators import evaluate
 from millrace.plans import training
 
 
@@ -39,7 +40,9 @@ def test_fit_store_score(spark, rows, tmp_path, kind):
     loaded = training.load(str(tmp_path / "m"))
     assert training.model_features(loaded) == ["a", "b"]
     scored = training.score(loaded, rows)
-    assert ("probabilities" in scored.columns) == (kind == "forest")
+    for row in scored.collect():
+        assert len(row.probabilities) == 3 and abs(sum(row.probabilities) - 1) < 1e-9
+        assert row.probabilities[row.prediction] == max(row.probabilities)
     report = {r.class_name: r.f1 for r in training.report(loaded, rows).collect()}
     assert report["accuracy"] > 0.95
 
@@ -49,3 +52,13 @@ def test_defaults():
     assert training.classifier("boosted").getClassifier().getStepSize() == K.LEARNING_RATE
     with pytest.raises(ValueError):
         training.classifier("other")
+
+
+def test_split_keeps_rows_without_a_key(spark):
+    rows = [(k if k % 10 else None, k % 3) for k in range(1000)]
+    df = spark.createDataFrame(rows, "event_id long, defect_label int")
+    got = evaluate.stratified_split(df).collect()
+    assert len(got) == 1000
+    for label in range(3):
+        own = [r.is_test for r in got if r.defect_label == label]
+        assert sum(own) == round(0.2 * len(own))
