@@ -35,8 +35,9 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     halves = copies.where("not copy").select("id", F.explode("halves").alias("h"))
     shared = halves.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h")
     wanted = halves.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("halves"))
-    # The same left join twice: Spark shuffles the texts once and reads them again.
-    seen = base.join(wanted, "id", "left").select("id", "text", "halves")
+    # The same left join twice: Spark shuffles the texts once and reads them again. The
+    # other side is small for each key, so it is hashed and the texts aren't sorted.
+    seen = base.join(wanted.hint("shuffle_hash"), "id", "left").select("id", "text", "halves")
     found = seen.where("halves is not null").mapInArrow(_windows(window), "id long, w1 long, w2 long")
     earliest = found.groupBy("w1", "w2").agg(F.min("id").alias("lo"))
     late = (
@@ -56,7 +57,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
         .select("id", "late", "copy", "odd")
     )
     return (
-        base.join(fate, "id", "left")
+        base.join(fate.hint("shuffle_hash"), "id", "left")
         .mapInArrow(_cut(window), "id long, n_words long, n_removed long, kept binary")
         .select(F.col("id").alias(key), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"))
     )
