@@ -28,11 +28,14 @@ MINIMA, SHARED = 32, 6
 #: Keys of indexed sets that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Turns of checking each set against one likely partner.
-TURNS = 3
+TURNS = 2
 #: Stands for a set of which no segment is passed over.
 EVERY = -(1 << 40)
-#: Segments of a band, as multiples of the fewest that can do.
-FACTORS = (1.0, 1.15, 1.3, 1.6, 2.2, 4.0, 16.0)
+#: Shingles of the sets that one task checks against those of another such block.
+BLOCK_BYTES = 4 << 20
+#: Segments of a band, as multiples of the fewest that can do. With four, documents that
+#: share half of their text still have enough segments of their own.
+FACTORS = (4.0, 16.0)
 
 
 def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
@@ -87,8 +90,7 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
     connected with: of the sets that stand for its segments the one it meets most. This
     joins large groups without looking at all their pairs. Then all pairs are checked
     which meet in a segment and are still not connected. A set must be met in a fixed
-    number of segments, so the ones that most other sets share are passed over, and a
-    pair must meet in all of these but the few in which it can differ.
+    number of segments, so the ones that most other sets share are passed over.
     """
     plan = allocation(sets, percent)
     index = sets.mapInArrow(_signatures(plan, percent), "sig long, id long, n long, own boolean, spare long")
@@ -119,26 +121,35 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("rank", F.row_number().over(by_set.orderBy("many", "sig")))
         .withColumn("all", F.count("*").over(by_set))
         .where("rank <= all - spare")
-        .select("sig", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.expr("spare < 0").alias("any"))
+        .select("sig", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), "rank", "all", "spare")
     )
     large = placed.select("sig", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    # The sizes of a pair say in how many segments it can differ: of the fewer it must
+    # be met in, others still are passed over.
     differ = f"(na + nb) * {100 - int(percent)} div {100 + int(percent)}"
     rest = (
         small.join(large, "sig")
         .where(f"ca != cb and (na < nb or (na = nb and a < b)) and na * 100 >= nb * {int(percent)}")
-        .groupBy("a", "b", "na", "nb", "any")
-        .agg(F.count("*").alias("meet"))
-        .where(f"any or meet >= na * {100 - int(percent)} div {int(percent)} + 1 - {differ}")
+        .where(f"rank <= all - spare - na * {100 - int(percent)} div {int(percent)} + {differ}")
         .select("a", "b")
+        .distinct()
     )
     return links.unionByName(verified(rest, sets, percent))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets share at least ``percent`` of their union."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_check(percent), "a long, b long").distinct()
+    """Of the pairs ``a, b`` with at least ``percent`` of their union shared, enough to
+    connect all that they connect.
+
+    Sets are dealt into blocks of bounded size, pairs into tiles of two blocks. A set is
+    sent once to each tile in which it has a pair, not once for each pair.
+    """
+    size = sets.agg(F.sum("n")).first()[0] or 0
+    block = lambda c: F.pmod(F.xxhash64(F.lit(41), c), F.lit(1 + size * 8 // BLOCK_BYTES))
+    pairs = pairs.select("a", "b", block("a").alias("x"), block("b").alias("y"))
+    ends = pairs.select(F.col("x").alias("hx"), F.col("y").alias("hy"), F.explode(F.array("a", "b")).alias("id")).distinct()
+    held = ends.join(sets.select("id", "shingles"), "id")
+    return pairs.groupBy("x", "y").cogroup(held.groupBy("hx", "hy")).applyInArrow(_check(percent), "a long, b long")
 
 
 def allocation(sets: DataFrame, percent: int) -> dict[int, tuple[int, bool]]:
@@ -319,16 +330,35 @@ def _index(sigs, ids, sizes, owns, spares) -> pa.RecordBatch:
 
 
 def _check(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = _array(x), _array(y)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
-                both = int((y[at] == x).sum()) if len(y) else 0
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def run(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        sets: dict[int, list[np.ndarray]] = {}
+        for key, blobs in zip(held.column("id").to_pylist(), held.column("shingles")):
+            sets.setdefault(key, []).append(_array(blobs))
+        root = {key: key for key in sets}
+
+        def top(key: int) -> int:
+            while root[key] != key:
+                root[key] = root[root[key]]
+                key = root[key]
+            return key
+
+        links = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            if a not in root or b not in root or top(a) == top(b):
+                continue
+            if any(_similar(x, y, percent) for x in sets[a] for y in sets[b]):
+                root[top(a)] = top(b)
+                links.append((a, b))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
