@@ -9,7 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import words
-from millrace.llm.tables import stored
+from millrace.llm.tables import bounded, stored
+
+#: Copies of other documents that may be broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50) -> DataFrame:
@@ -31,8 +34,10 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     read = stored(base.mapInArrow(_scan(window), "id long, n long, f1 long, f2 long, halves array<long>"))
     keyed = read.where("id is not null and n >= %d" % window)
     first = keyed.groupBy("f1", "f2").agg(F.min("id").alias("first"))
-    copies = keyed.join(first, ["f1", "f2"]).select("id", (F.col("id") > F.col("first")).alias("copy"), "halves")
-    halves = copies.where("not copy").select("id", F.explode("halves").alias("h"))
+    copies = stored(keyed.select("id", "f1", "f2").join(first, ["f1", "f2"]).where("id > first").select("id", "f1"))
+    # A copy's runs need no counting: the first document has them.
+    others = keyed.select("id", "f1", "halves").join(bounded(copies, BROADCAST_ROWS), ["id", "f1"], "left_anti")
+    halves = others.select("id", F.explode("halves").alias("h"))
     shared = halves.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h")
     wanted = halves.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("halves"))
     # The same left join twice: Spark shuffles the texts once and reads them again. The
@@ -46,10 +51,10 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
         .groupBy("id")
         .agg(F.collect_list("w1").alias("late"))
     )
-    whole = copies.where("copy").groupBy("id").agg(F.lit(True).alias("copy"))
+    whole = copies.groupBy("id").agg(F.lit(True).alias("copy"))
     twice = keyed.groupBy("id").agg(F.count_distinct("f1", "f2").alias("texts"))
     # A key with several texts can be a copy in one row only; such rows are told apart by their hash.
-    odd = keyed.join(twice.where("texts > 1"), "id").join(first, ["f1", "f2"]).where("id > first")
+    odd = copies.join(twice.where("texts > 1"), "id")
     odd = odd.groupBy("id").agg(F.collect_set("f1").alias("odd"))
     fate = (
         late.join(whole, "id", "full")
@@ -66,7 +71,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
 def _inner(window: int) -> int:
     """Words of a window's inner runs: long ones are rarely equal by chance, short ones
     leave fewer least runs to count."""
-    return max(1, window * 3 // 10)
+    return max(1, window * 3 // 5)
 
 
 def _scan(window: int):
