@@ -274,6 +274,11 @@ SELECT {KEYS}, {K.TRANSIT}, {SPEEDS}, {CHANGES},
   round({mean(K.TRANSIT, 50)} + 3e-8, 6) AS {K.TRANSIT_MA50},
   CASE WHEN {K.TRANSIT} > 155e-1 THEN 1 ELSE 0 END AS {K.BOTTLENECK},
   {LABEL} AS {K.LABEL} FROM moved"""
+    timed_gold = gold.replace(f"SELECT {KEYS}, ", f"SELECT {KEYS}, t_us, ", 1)
+    early_gold = (
+        f"SELECT {KEYS}, t_us, {K.TRANSIT}, {K.load('R01')}_MA60, {K.LABEL} "
+        f"FROM ({timed_gold}) AS g WHERE t_us <= {AS_OF_US}"
+    )
     edges = f"""{with_tel}, {transit('tel')}
 SELECT {KEYS}, rel::INT AS is_release1, rec::INT AS is_receipt3 FROM edges"""
     filled = f"""{with_tel} SELECT {KEYS},
@@ -329,6 +334,9 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         "unify_sources": f"{with_tel}, {JOINED_SQL} SELECT {KEYS}, t_us, {sources} FROM joined",
         "silver_roundtrip": f"{joined_hidden}, {transit('hidden')} SELECT {KEYS}, t_us, "
         f"Q_VFD2_Temperature, {K.TRANSIT}, {K.STOPPER1}, Description FROM timed",
+        "asof_prefix_gold": early_gold,
+        "number_texts": f"{with_tel} SELECT event_id, printf('%.3f', event_id * 125e-3) AS value_text, "
+        "printf('%+.1f', (event_id % 21 - 10) * 5e-1) AS change_text FROM tel",
         "gold_roundtrip": gold,
         "gold_roundtrip_sharded": gold,
         "load_gold": f"{with_tel}, kept AS (SELECT * FROM tel WHERE event_id % 41 <> 1) "

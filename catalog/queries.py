@@ -256,6 +256,15 @@ def gold_roundtrip_sharded(spark, sf_dir):
     return _gold_report(pipeline.gold(spark, root, ties=("event_id",)))
 
 
+@query
+def asof_prefix_gold(spark, sf_dir):
+    """Stored gold as of an instant; the days after it are not read."""
+    root, _ = _silver(spark, sf_dir)
+    gold = pipeline.gold(spark, root, ties=("event_id",))
+    early = O.up_to_time(gold, AS_OF_US)
+    return early.selectExpr(*KEYS, "t_us", K.TRANSIT, *rounded(K.load("R01") + "_MA60"), K.LABEL)
+
+
 @query
 def load_gold(spark, sf_dir):
     """Gold read for KPIs: zone stripped, gap with the KPI defaults."""
@@ -600,6 +609,17 @@ def scenario_overlay(spark, sf_dir):
     )
 
 
+@query
+def number_texts(spark, sf_dir):
+    """Numbers as cards show them; eighths and halves have exact decimals."""
+    value, change = F.col("event_id") * 0.125, (F.col("event_id") % 21 - 10) * 0.5
+    return tel(spark, sf_dir).select(
+        "event_id",
+        S.fixed_text(value, 3).alias("value_text"),
+        S.fixed_text(change, 1, sign=True).alias("change_text"),
+    )
+
+
 @query
 def vfd_power(spark, sf_dir):
     hidden = tel(spark, sf_dir).withColumn(K.temperature(2), C.interpolated_drive2())
@@ -884,6 +904,11 @@ def _stream_source(session, df: DataFrame) -> DataFrame:
     for number in range(STREAM_SLICES):
         slice_ = df.where(part == number).repartition(SLICE_FILES)
         slice_.write.mode("append").parquet(path)
+        # A thin slice writes fewer files. Empty ones make up for them, so that no
+        # micro-batch takes files of the next slice.
+        files = session.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        for _ in range((number + 1) * SLICE_FILES - files.count()):
+            df.limit(0).coalesce(1).write.mode("append").parquet(path)
     return (
         session.readStream.schema(df.schema)
         .option("maxFilesPerTrigger", SLICE_FILES)

@@ -83,3 +83,21 @@ def test_repeated_rows_count_once(spark, tmp_path):
     got = sorted((r.window_start.minute, r.n_rows, r.elapsed_s) for r in rows.collect())
     # 50 minutes of rows; the last window is still open.
     assert got == [(m, 20, 600.0) for m in (0, 10, 20, 30)]
+
+
+def test_thin_slices_stay_apart(spark):
+    from catalog import queries as Q
+
+    rows = [(0, 0)] + [(k, 900 + k % 90) for k in range(1, 400)]
+    df = spark.createDataFrame(rows, "event_id long, t_us long")
+    seen = []
+    session = Q._stream_session(spark)
+    stream = Q._stream_source(session, df)
+
+    def note(batch, number):
+        seen.append([r.t_us for r in batch.collect()])
+
+    run = stream.writeStream.foreachBatch(note).trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert sum(map(len, seen)) == 400
+    assert any(times == [0] for times in seen)
