@@ -27,8 +27,6 @@ from millrace.llm.tables import bounded, stored
 MINIMA, SHARED = 32, 6
 #: Keys of indexed sets that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Turns of checking each set against one likely partner.
-TURNS = 2
 #: Stands for a set of which no segment is passed over.
 EVERY = -(1 << 40)
 #: Shingles of the sets that one task checks against those of another such block.
@@ -86,57 +84,71 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of ``sets`` (``id, n, shingles``) that suffice to connect all
     sets which links connect.
 
-    In a few turns each set is checked against one likely partner that it isn't yet
-    connected with: of the sets that stand for its segments the one it meets most. This
-    joins large groups without looking at all their pairs. Then all pairs are checked
-    which meet in a segment and are still not connected. A set must be met in a fixed
-    number of segments, so the ones that most other sets share are passed over.
+    In two turns each set is checked against one likely partner: of the sets that stand
+    for its segments the one it meets most. This joins large groups without looking at
+    all their pairs. Then all pairs are checked which meet in a segment and are still
+    not connected. A set must be met in a fixed number of segments, so the ones that
+    most other sets share are passed over.
     """
     plan = allocation(sets, percent)
+    least = f"n * {100 - int(percent)} div {int(percent)} + 1"
     index = sets.mapInArrow(_signatures(plan, percent), "sig long, id long, n long, own boolean, spare long")
-    often = index.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1")
-    index = stored(index.join(often, "sig"))
-    placed, links = index.withColumn("component", F.col("id")), None
-    for turn in range(TURNS):
-        order = F.xxhash64(F.lit(turn), "id") if turn else F.col("id")
-        centre = placed.groupBy("sig").agg(*[F.min_by(c, order).alias(f"c_{c}") for c in ("id", "n", "component")])
-        likely = (
-            placed.join(centre, "sig")
-            .where(f"component != c_component and least(n, c_n) * 100 >= greatest(n, c_n) * {int(percent)}")
-            .groupBy("id", "c_id")
-            .agg(F.count("*").alias("meet"))
-            .groupBy("id")
-            .agg(F.max_by("c_id", "meet").alias("b"))
-        )
-        found = stored(verified(likely.withColumnRenamed("id", "a"), sets, percent))
-        links = found if links is None else links.unionByName(found)
-        known = components(links).withColumnRenamed("node", "id")
-        placed = index.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        placed = stored(placed.join(mixed.select("sig"), "sig"))
-        index = placed.drop("component")
-    by_set = Window.partitionBy("id")
-    small = (
-        placed.where("own")
-        .withColumn("rank", F.row_number().over(by_set.orderBy("many", "sig")))
-        .withColumn("all", F.count("*").over(by_set))
-        .where("rank <= all - spare")
-        .select("sig", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), "rank", "all", "spare")
+    often = index.groupBy("sig").agg(F.count("*").alias("many"), F.min("id").alias("c"), F.min_by("n", "id").alias("cn"))
+    index = stored(index.join(often.where("many > 1"), "sig"))
+    # First turn: the smallest key stands for a segment.
+    links = stored(verified(_likely(index.where("id != c"), percent), sets, percent))
+    parts = components(links)
+    placed = _placed(_placed(index, parts, "id", "component"), parts, "c", "other")
+    mixed = stored(placed.where("component != other").select("sig").distinct())
+    placed = stored(placed.join(bounded(mixed, BROADCAST_ROWS), "sig").drop("c", "cn", "other"))
+    # Second turn: of the sets in a segment the one with the fewest segments of its own.
+    single = index.where("own").groupBy("id").agg((F.max(F.expr(f"spare + {least}")) - F.count("*")).alias("alone"))
+    placed_by = placed.join(bounded(stored(single), BROADCAST_ROWS), "id", "left")
+    order = F.coalesce("alone", F.col("n"))
+    centre = placed_by.groupBy("sig").agg(*[F.min_by(c, order).alias(t) for c, t in (("id", "c"), ("n", "cn"), ("component", "other"))])
+    again = placed.join(centre, "sig").where("component != other")
+    links = links.unionByName(stored(verified(_likely(again, percent), sets, percent)))
+    placed = _placed(placed.drop("component"), components(links), "id", "component")
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    placed = placed.join(mixed.select("sig"), "sig")
+    by_set = Window.partitionBy("id", "own")
+    placed = stored(
+        placed.withColumn("rank", F.row_number().over(by_set.orderBy("many", "sig")))
+        .withColumn("meets", F.count("*").over(by_set) - F.col("spare"))
+        .select("sig", "id", "n", "own", "component", "rank", "meets")
     )
-    large = placed.select("sig", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    # The sizes of a pair say in how many segments it can differ: of the fewer it must
-    # be met in, others still are passed over.
-    differ = f"(na + nb) * {100 - int(percent)} div {100 + int(percent)}"
+    small = placed.where("own and rank <= meets").select(
+        "sig", "rank", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "component", "meets")]
+    )
+    large = placed.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "component", "meets")])
+    # The sizes of a pair say in how many segments it can differ; it must be met in one
+    # of the others. Of two sets of a size the one that must be met in fewer asks.
+    differ = f"(a_n + b_n) * {100 - int(percent)} div {100 + int(percent)}"
     rest = (
         small.join(large, "sig")
-        .where(f"ca != cb and (na < nb or (na = nb and a < b)) and na * 100 >= nb * {int(percent)}")
-        .where(f"rank <= all - spare - na * {100 - int(percent)} div {int(percent)} + {differ}")
-        .select("a", "b")
+        .where("a_component != b_component")
+        .where("a_n < b_n or (a_n = b_n and (a_meets < b_meets or (a_meets = b_meets and a_id < b_id)))")
+        .where(f"a_n * 100 >= b_n * {int(percent)}")
+        .where(f"rank <= a_meets - a_n * {100 - int(percent)} div {int(percent)} + {differ}")
+        .select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
         .distinct()
     )
     return links.unionByName(verified(rest, sets, percent))
 
 
+def _likely(rows: DataFrame, percent: int) -> DataFrame:
+    """For each set the standing set ``c`` that it meets most, as a pair ``a, b``."""
+    near = rows.where(f"least(n, cn) * 100 >= greatest(n, cn) * {int(percent)}")
+    met = near.groupBy("id", "c").agg(F.count("*").alias("meet"))
+    return met.groupBy("id").agg(F.max_by("c", "meet").alias("b")).withColumnRenamed("id", "a")
+
+
+def _placed(rows: DataFrame, parts: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with the component of the set in ``key``, itself if it is alone."""
+    known = parts.select(F.col("node").alias(key), F.col("component").alias(name))
+    return rows.join(bounded(known, BROADCAST_ROWS), key, "left").withColumn(name, F.coalesce(name, key))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs ``a, b`` with at least ``percent`` of their union shared, enough to
     connect all that they connect.
@@ -147,7 +159,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     size = sets.agg(F.sum("n")).first()[0] or 0
     block = lambda c: F.pmod(F.xxhash64(F.lit(41), c), F.lit(1 + size * 8 // BLOCK_BYTES))
     pairs = pairs.select("a", "b", block("a").alias("x"), block("b").alias("y"))
-    ends = pairs.select(F.col("x").alias("hx"), F.col("y").alias("hy"), F.explode(F.array("a", "b")).alias("id")).distinct()
+    end = lambda c: pairs.select(F.col("x").alias("hx"), F.col("y").alias("hy"), F.col(c).alias("id")).distinct()
+    ends = end("a").unionByName(end("b")).distinct()
     held = ends.join(sets.select("id", "shingles"), "id")
     return pairs.groupBy("x", "y").cogroup(held.groupBy("hx", "hy")).applyInArrow(_check(percent), "a long, b long")
 
