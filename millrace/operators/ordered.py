@@ -24,8 +24,10 @@ from millrace.operators.shards import (
     carry,
     previous,
     previous_time,
+    small,
     with_halo,
 )
+from millrace.session import checkpointed
 
 RELEASE, RECEIPT = "is_release1", "is_receipt3"
 
@@ -343,8 +345,34 @@ def rebuild_hidden(sharded: Sharded, whole_seconds: bool = False) -> Sharded:
 
 
 def at_index(sharded: Sharded, index: int) -> DataFrame:
-    """The row at one position of each line."""
-    return add_index(sharded).df.where(F.col("idx") == index).drop(SHARD)
+    """The row at one position of each line; only the shards that hold it are ordered."""
+    if not sharded.single:
+        sharded = _holding(sharded, F.lit(index), F.lit(index))
+    indexed = add_index(sharded).df if sharded.single else _numbered(sharded).drop("_before", "_rows")
+    return indexed.where(F.col("idx") == index).drop(SHARD)
+
+
+def _holding(sharded: Sharded, first: Column, last: Column) -> Sharded:
+    """The shards with rows at positions ``first`` to ``last`` of their line, with
+    ``_before``, the rows before the shard, and ``_rows``, the rows of the line.
+
+    Found from the numbers of rows by shard, one narrow pass.
+    """
+    line, number_ = sharded.key
+    counts = sharded.df.groupBy(*sharded.key).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(line)
+    upto = F.sum("_n").over(whole.orderBy(number_))
+    counts = counts.withColumns({"_before": upto - F.col("_n"), "_rows": F.sum("_n").over(whole)})
+    chosen = counts.where((F.col("_before") <= last) & (F.col("_before") + F.col("_n") > first))
+    chosen = checkpointed(chosen.select(F.col(line).alias("_line"), F.col(number_).alias("_shard"), "_before", "_rows"))
+    same = F.col(line).eqNullSafe(F.col("_line")) & (F.col(number_) == F.col("_shard"))
+    return sharded.with_df(sharded.df.join(small(chosen), same).drop("_line", "_shard"))
+
+
+def _numbered(held: Sharded) -> DataFrame:
+    """``idx``, the position in the line, for the rows of some shards."""
+    local = F.row_number().over(held.window()).cast("long") - 1
+    return held.df.withColumn("idx", F.col("_before") + local)
 
 
 def up_to_index(sharded: Sharded, index: int) -> Sharded:
@@ -369,7 +397,11 @@ def trailing_history(
     ``rel_index`` counts from 0 at the oldest row, or, with
     ``from_zero=False``, up to 0 at the newest.
     """
-    indexed = add_index(sharded, total="_rows").df
+    if sharded.single:
+        indexed = add_index(sharded, total="_rows").df
+    else:
+        end = F.col("_rows") - 1 if index is None else F.lit(index)
+        indexed = _numbered(_holding(sharded, end - (rows - 1), end)).drop("_before")
     if index is None:
         indexed = indexed.withColumn("_end", F.col("_rows") - 1)
     else:

@@ -177,10 +177,18 @@ def attach(
 ) -> DataFrame:
     """Join the named carried values to the rows on (line, shard).
 
-    The rows are clustered on the same key by their window, so the shuffle is
-    shared. No broadcast is forced: Spark decides by the size it measures.
+    The carried table, one row per shard, is worked out and stored here, so that a
+    chain of operators reads its source once for each of them and once for the rows,
+    not twice as often with each. While it is small the rows aren't exchanged for it.
     """
-    return rows.join(carried.select(*sharded.key, *names), sharded.key, "left")
+    carried = checkpointed(carried.select(*sharded.key, *names))
+    return rows.join(small(carried), sharded.key, "left")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast a table that is counted to be small; else leave the join to Spark."""
+    few = df.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS
+    return F.broadcast(df) if few else df
 
 
 def previous(sharded: Sharded, names: dict[str, str]) -> DataFrame:

@@ -139,3 +139,20 @@ def test_text_ties_and_two_ties_at_a_hot_instant(spark):
         order = ["t_us", *ties]
         got = [r.shard for r in cut.orderBy(*order).collect()]
         assert got == sorted(got) and len(set(got)) > 10
+
+
+def test_sharded_chain_reads_its_source_once(spark, sf_dir):
+    # Carried values are stored tables; they do not run the chain below them again.
+    from catalog.telemetry import tel
+
+    cut = shard(tel(spark, sf_dir), rows_per_shard=100)
+    assert not cut.single
+    chains = {
+        "transit": O.rebuild_hidden(cut).df,
+        "index": O.add_index(O.rebuild_hidden(cut)).df,
+        "running": kpi.running_oee(cut),
+    }
+    for name, df in chains.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") <= 2, name
+        assert plan.count("Exchange hashpartitioning") <= (4 if name == "running" else 1), name
