@@ -59,7 +59,7 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     sets = stored(
         base.join(bounded(some, BROADCAST_ROWS), "id").mapInArrow(_sets(width), "id long, n long, shingles binary")
     )
-    links = similar(sets, percent)
+    links = similar(shared_enough(sets, percent), percent)
     found = components(same.unionByName(links)).withColumnRenamed("node", "id")
     return read.join(found, "id", "left").select(
         F.col("id").alias(key),
@@ -80,8 +80,20 @@ def suspects(sets: DataFrame) -> DataFrame:
     return each.join(shared, "v").groupBy("id").count().where(F.col("count") >= SHARED).select("id")
 
 
+def shared_enough(sets: DataFrame, percent: int) -> DataFrame:
+    """``sets`` with ``u``, the shingles that no other of them has, without those for
+    which they are too many for any partner: these are outside every intersection."""
+    each = sets.mapInArrow(_each, "h long, id long")
+    alone = each.groupBy("h").agg(F.count("*").alias("many"), F.min("id").alias("id")).where("many = 1")
+    # A key with several texts has several sets, which the count doesn't tell apart.
+    several = sets.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
+    alone = stored(alone.groupBy("id").agg(F.count("*").alias("u")).join(several, "id", "left_anti"))
+    counted = sets.join(bounded(alone, BROADCAST_ROWS), "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    return stored(counted.where(f"(n - u) * 100 >= n * {int(percent)}"))
+
+
 def similar(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of ``sets`` (``id, n, shingles``) that suffice to connect all
+    """Pairs ``a, b`` of ``sets`` (``id, n, u, shingles``) that suffice to connect all
     sets which links connect.
 
     In two turns each set is checked against one likely partner: of the sets that stand
@@ -111,16 +123,18 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
     placed = _placed(placed.drop("component"), components(links), "id", "component")
     mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     placed = placed.join(mixed.select("sig"), "sig")
+    placed = placed.join(bounded(sets.select("id", "u"), BROADCAST_ROWS), "id")
     by_set = Window.partitionBy("id", "own")
     placed = stored(
         placed.withColumn("rank", F.row_number().over(by_set.orderBy("many", "sig")))
         .withColumn("meets", F.count("*").over(by_set) - F.col("spare"))
-        .select("sig", "id", "n", "own", "component", "rank", "meets")
-    )
-    small = placed.where("own and rank <= meets").select(
-        "sig", "rank", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "component", "meets")]
+        .select("sig", "id", "n", "u", "own", "component", "rank", "meets")
     )
-    large = placed.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "component", "meets")])
+    # The smaller of a pair shares at least this part of itself.
+    asks = f"own and rank <= meets and (n - u) * {100 + int(percent)} >= n * {2 * int(percent)}"
+    columns = ("id", "n", "u", "component", "meets")
+    small = placed.where(asks).select("sig", "rank", *[F.col(c).alias(f"a_{c}") for c in columns])
+    large = placed.select("sig", *[F.col(c).alias(f"b_{c}") for c in columns])
     # The sizes of a pair say in how many segments it can differ; it must be met in one
     # of the others. Of two sets of a size the one that must be met in fewer asks.
     differ = f"(a_n + b_n) * {100 - int(percent)} div {100 + int(percent)}"
@@ -129,6 +143,7 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
         .where("a_component != b_component")
         .where("a_n < b_n or (a_n = b_n and (a_meets < b_meets or (a_meets = b_meets and a_id < b_id)))")
         .where(f"a_n * 100 >= b_n * {int(percent)}")
+        .where(f"least(a_n - a_u, b_n - b_u) * {100 + int(percent)} >= (a_n + b_n) * {int(percent)}")
         .where(f"rank <= a_meets - a_n * {100 - int(percent)} div {int(percent)} + {differ}")
         .select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
         .distinct()
@@ -239,6 +254,17 @@ def _sets(width: int):
     return run
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct shingles of each set, one row each, some sets at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            piece = batch.slice(at, 64)
+            arrays = [_array(b) for b in piece.column("shingles")]
+            ids = np.repeat(piece.column("id").to_numpy(), [len(x) for x in arrays])
+            flat = np.concatenate(arrays).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids)], ["h", "id"])
+
+
 def _array(blob: pa.Scalar) -> np.ndarray:
     return np.frombuffer(blob.as_buffer(), dtype=np.uint64)
 

@@ -103,10 +103,10 @@ def test_segments_find_every_similar_pair(spark, monkeypatch):
         base = np.unique(r.integers(0, 2**63, 2 * n, dtype=np.uint64))[:n]
         other = base[: max(1, -(-3 * n // 4))]
         for j, s in enumerate((base, other)):
-            rows.append((2 * k + j, len(s), np.sort(s).tobytes()))
+            rows.append((2 * k + j, len(s), 0, np.sort(s).tobytes()))
         if 100 * len(other) >= 75 * len(base) and n > 1:
             want.add((2 * k, 2 * k + 1))
-    sets = spark.createDataFrame(rows, "id long, n long, shingles binary")
+    sets = spark.createDataFrame(rows, "id long, n long, u long, shingles binary")
     for factors in ((1.0,), jaccard.FACTORS):
         monkeypatch.setattr(jaccard, "FACTORS", (*factors, 16.0))
         got = {tuple(sorted(p)) for p in jaccard.similar(sets, 75).collect()}
