@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import words
@@ -40,10 +41,11 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     halves = others.select("id", F.explode("halves").alias("h"))
     shared = halves.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h")
     wanted = halves.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("halves"))
-    # The same left join twice: Spark shuffles the texts once and reads them again. The
-    # other side is small for each key, so it is hashed and the texts aren't sorted.
+    # The same left join twice: Spark shuffles the texts once and reads them again. (A
+    # condition on the joined side would make one of them an inner join with a shuffle
+    # of its own.) The other side is small for each key and hashed, so nothing is sorted.
     seen = base.join(wanted.hint("shuffle_hash"), "id", "left").select("id", "text", "halves")
-    found = seen.where("halves is not null").mapInArrow(_windows(window), "id long, w1 long, w2 long")
+    found = seen.mapInArrow(_windows(window), "id long, w1 long, w2 long")
     earliest = found.groupBy("w1", "w2").agg(F.min("id").alias("lo"))
     late = (
         found.join(earliest, ["w1", "w2"])
@@ -116,6 +118,7 @@ def _windows(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("halves")))
             for piece in words.pieces(batch, "text"):
                 hashes, offsets = words.word_hashes(piece.column("text"))
                 least, owner = _least_halves(hashes, offsets, window, half)
