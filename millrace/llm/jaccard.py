@@ -132,23 +132,48 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
     )
     # The smaller of a pair shares at least this part of itself.
     asks = f"own and rank <= meets and (n - u) * {100 + int(percent)} >= n * {2 * int(percent)}"
-    columns = ("id", "n", "u", "component", "meets")
-    small = placed.where(asks).select("sig", "rank", *[F.col(c).alias(f"a_{c}") for c in columns])
-    large = placed.select("sig", *[F.col(c).alias(f"b_{c}") for c in columns])
+    small = placed.where(asks).select("sig", "rank", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "u", "component", "meets")])
+    # What is asked is a component, however many of its sets lie in the segment. The
+    # most and the least of its sets' numbers say if one of them can be similar.
+    large = placed.groupBy("sig", F.col("component").alias("b")).agg(
+        F.min("n").alias("b_least"), F.max("n").alias("b_most"), F.max(F.expr("n - u")).alias("b_shared"), F.max("meets").alias("b_meets"), F.max("id").alias("b_id")
+    )
     # The sizes of a pair say in how many segments it can differ; it must be met in one
     # of the others. Of two sets of a size the one that must be met in fewer asks.
-    differ = f"(a_n + b_n) * {100 - int(percent)} div {100 + int(percent)}"
-    rest = (
+    differ = f"(a_n + b_most) * {100 - int(percent)} div {100 + int(percent)}"
+    asked = (
         small.join(large, "sig")
-        .where("a_component != b_component")
-        .where("a_n < b_n or (a_n = b_n and (a_meets < b_meets or (a_meets = b_meets and a_id < b_id)))")
-        .where(f"a_n * 100 >= b_n * {int(percent)}")
-        .where(f"least(a_n - a_u, b_n - b_u) * {100 + int(percent)} >= (a_n + b_n) * {int(percent)}")
+        .where("a_component != b and (a_n < b_most or (a_n = b_most and (a_meets < b_meets or (a_meets = b_meets and a_id < b_id))))")
+        .where(f"a_n * 100 >= b_least * {int(percent)}")
+        .where(f"least(a_n - a_u, b_shared) * {100 + int(percent)} >= (a_n + greatest(a_n, b_least)) * {int(percent)}")
         .where(f"rank <= a_meets - a_n * {100 - int(percent)} div {int(percent)} + {differ}")
-        .select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+        .select(F.col("a_id").alias("a"), F.col("b").alias("part"))
         .distinct()
     )
-    return links.unionByName(verified(rest, sets, percent))
+    members = _placed(sets.select("id"), components(links), "id", "part")
+    return links.unionByName(reached(stored(asked), members, sets, percent))
+
+
+def reached(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """A pair ``a, b`` for every set ``a`` and component ``part`` of ``asked`` that a
+    link connects; ``members`` says which sets (``id``) a component has.
+
+    Sets are dealt into blocks of bounded size. A tile holds the sets of one block that
+    ask and those of another that are asked; each is sent there once.
+    """
+    blocks = _blocks(sets)
+    block = lambda c: F.pmod(F.xxhash64(F.lit(41), c), F.lit(blocks))
+    asked = asked.withColumn("x", block("a"))
+    members = members.join(asked.select("part").distinct(), "part").withColumn("y", block("id"))
+    pairs = asked.join(members.select("part", "y").distinct(), "part")
+    there = members.join(asked.select("part", "x").distinct(), "part").select("x", "y", "id", "part")
+    here = pairs.select("x", "y", F.col("a").alias("id"), F.lit(None).cast("long").alias("part")).distinct()
+    held = there.unionByName(here).withColumnsRenamed({"x": "hx", "y": "hy"}).join(sets.select("id", "shingles"), "id")
+    return pairs.groupBy("x", "y").cogroup(held.groupBy("hx", "hy")).applyInArrow(_reach(percent), "a long, b long")
+
+
+def _blocks(sets: DataFrame) -> int:
+    return 1 + (sets.agg(F.sum("n")).first()[0] or 0) * 8 // BLOCK_BYTES
 
 
 def _likely(rows: DataFrame, percent: int) -> DataFrame:
@@ -171,8 +196,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Sets are dealt into blocks of bounded size, pairs into tiles of two blocks. A set is
     sent once to each tile in which it has a pair, not once for each pair.
     """
-    size = sets.agg(F.sum("n")).first()[0] or 0
-    block = lambda c: F.pmod(F.xxhash64(F.lit(41), c), F.lit(1 + size * 8 // BLOCK_BYTES))
+    blocks = _blocks(sets)
+    block = lambda c: F.pmod(F.xxhash64(F.lit(41), c), F.lit(blocks))
     pairs = pairs.select("a", "b", block("a").alias("x"), block("b").alias("y"))
     end = lambda c: pairs.select(F.col("x").alias("hx"), F.col("y").alias("hy"), F.col(c).alias("id")).distinct()
     ends = end("a").unionByName(end("b")).distinct()
@@ -393,11 +418,34 @@ def _check(percent: int):
     return run
 
 
+def _reach(percent: int):
+    def run(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        own: dict[int, list[np.ndarray]] = {}
+        parts: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for key, part, blob in zip(held.column("id").to_pylist(), held.column("part").to_pylist(), held.column("shingles")):
+            if part is None:
+                own.setdefault(key, []).append(_array(blob))
+            else:
+                parts.setdefault(part, []).append((key, _array(blob)))
+        links = []
+        for a, part in zip(pairs.column("a").to_pylist(), pairs.column("part").to_pylist()):
+            # One link connects the set with the whole component.
+            for b, y in parts.get(part, ()):
+                if any(_similar(x, y, percent) for x in own.get(a, ())):
+                    links.append((a, b))
+                    break
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
+
+
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     if len(x) > len(y):
         x, y = y, x
     if not len(x):
         return False
+    if 100 * len(x) < percent * len(y):
+        return False
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
     both = int((y[at] == x).sum())
     return 100 * both >= percent * (len(x) + len(y) - both)
