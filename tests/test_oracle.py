@@ -33,5 +33,5 @@ def test_train_score(spark, sf_dir):
     rows = entry.queries()["train_score"](spark, sf_dir).collect()
     assert rows
     for row in rows:
-        assert abs(row.p0 + row.p1 + row.p2 + row.p3 - 1.0) < 1e-4
-        assert row.prediction in (0, 1, 2, 3)
+        assert row.total == 1.0 and row.n_classes == 4
+        assert row.is_likeliest and row.in_range
