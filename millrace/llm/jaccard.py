@@ -11,6 +11,7 @@ it costs over all sets of the band. Pairs that meet in a segment are checked exa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,9 @@ from millrace.llm import words
 from millrace.llm.graph import components
 from millrace.llm.tables import bounded, stored
 
-#: Least hash values kept for each set, and how many of them must occur in another set
-#: before the set is indexed. A pair of similarity 0.75 misses this with probability
-#: 3e-12; see ``suspects``.
-MINIMA, SHARED = 32, 6
+#: Least hash values kept for each set, and the probability at most with which a pair
+#: just at the threshold shares too few of them for its sets to be indexed; see ``suspects``.
+MINIMA, MISS = 32, 1e-11
 #: Keys of indexed sets that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Stands for a set of which no segment is passed over.
@@ -44,8 +44,13 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     union is shared. The component is the smallest key that links reach. A row with a
     null key is linked with nothing and its component is null. Rows that repeat a key
     are one document with several texts, whose links are joined. Other columns are
-    ignored, whatever their names.
+    ignored, whatever their names. ``percent`` is a whole number from 51 to 100: at less
+    a pair may differ in as many shingles as the smaller set has, and need not agree in
+    any segment. At a low one ``allocation`` may find no right number of segments; it
+    raises then, as no pair may be lost.
     """
+    if percent != int(percent) or not 50 < percent <= 100:
+        raise ValueError(f"percent must be a whole number from 51 to 100, not {percent}")
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     read = stored(base.mapInArrow(_profile(width), "id long, n long, f1 long, f2 long, minima array<long>"))
     keyed = read.where("id is not null and n > 0")
@@ -54,7 +59,7 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     tied = keyed.join(first, ["n", "f1", "f2"])
     same = tied.where("id > first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     own = tied.where("id = first").select("id", "minima")
-    some = stored(suspects(own))
+    some = stored(suspects(own, percent))
     sets = stored(
         base.join(bounded(some, BROADCAST_ROWS), "id").mapInArrow(_sets(width), "id long, n long, shingles binary")
     )
@@ -67,16 +72,35 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     )
 
 
-def suspects(sets: DataFrame) -> DataFrame:
+def least_shared(percent: int) -> int:
+    """How many of its least values a set with a partner has in common with others.
+
+    The most that a pair of similarity ``percent`` falls short of with a probability of
+    ``MISS`` at most: 6 at 75 percent (3e-12), 0 below 55, where nothing is left out.
+    """
+    p = percent / 100
+    below, k = 0.0, 0
+    while k < MINIMA:
+        below += comb(MINIMA, k) * p**k * (1 - p) ** (MINIMA - k)
+        if below > MISS:
+            break
+        k += 1
+    return k
+
+
+def suspects(sets: DataFrame, percent: int) -> DataFrame:
     """Keys of sets that can have a partner, from ``id, minima``.
 
     The least values of two sets under one random order agree with a probability equal
-    to their similarity. Under 32 orders a pair of similarity 0.75 agrees in fewer than
-    6 with probability 3e-12, and each agreement is a value that two sets have.
+    to their similarity, and each agreement is a value that two sets have. So a set of
+    which fewer than ``least_shared`` values occur elsewhere has no partner.
     """
+    least = least_shared(percent)
+    if not least:
+        return sets.select("id").distinct()
     each = sets.select("id", F.explode("minima").alias("v"))
     shared = each.groupBy("v").agg(F.count("*").alias("many")).where("many > 1").select("v")
-    return each.join(shared, "v").groupBy("id").count().where(F.col("count") >= SHARED).select("id")
+    return each.join(shared, "v").groupBy("id").count().where(F.col("count") >= least).select("id")
 
 
 def shared_enough(sets: DataFrame, percent: int) -> DataFrame:
@@ -209,8 +233,8 @@ def allocation(sets: DataFrame, percent: int) -> dict[int, tuple[int, bool]]:
     shingle left out are indexed too.
 
     Measured over all sets: a choice is right if every set of the band has enough
-    segments that are not empty; the cheapest right one is taken. The driver gets a
-    few numbers for each band, of which there are at most 64.
+    segments that are not empty; the cheapest right one is taken. A band with sets but
+    without a right choice raises. The driver gets a few numbers for each band, of which there are at most 64.
     """
     measured = sets.select("shingles").mapInArrow(
         _measure(percent), "band int, choice int, short long, short_deleted long, plain long, deleted long"
@@ -230,6 +254,10 @@ def allocation(sets: DataFrame, percent: int) -> dict[int, tuple[int, bool]]:
             options.append((row["plain"] + row["deleted"], m, True))
         for option in options:
             best[row["band"]] = min(best.get(row["band"], option), option)
+    lacking = sorted({row["band"] for row in rows} - set(best))
+    if lacking:
+        sizes = ", ".join(f"{1 << band} to {(2 << band) - 1}" for band in lacking)
+        raise ValueError(f"no number of segments finds all pairs at {percent} percent among sets of {sizes} shingles")
     # A band without sets of its own can still be visited by larger ones; nothing is there to meet.
     return {band: (m, deletions) for band, (_, m, deletions) in best.items()}
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -95,6 +96,34 @@ def test_jaccard_is_brute_force(spark, seed):
     assert links > 20
 
 
+def test_jaccard_at_other_thresholds(spark, monkeypatch):
+    """The filter follows the threshold; where pairs could be lost it raises."""
+    def miss(p, k):
+        return sum(math.comb(jaccard.MINIMA, i) * p**i * (1 - p) ** (jaccard.MINIMA - i) for i in range(k))
+
+    assert jaccard.least_shared(75) == 6
+    for percent in range(51, 101):
+        least = jaccard.least_shared(percent)
+        assert miss(percent / 100, least) <= jaccard.MISS
+        assert least == jaccard.MINIMA or miss(percent / 100, least + 1) > jaccard.MISS
+    none = spark.createDataFrame([(k, [10 * k, 10 * k + 1]) for k in range(3)], "id long, minima array<long>")
+    assert {r.id for r in jaccard.suspects(none, 54).collect()} == {0, 1, 2}
+    assert {r.id for r in jaccard.suspects(none, 55).collect()} == set()
+    # 60 shingles each, 42 of them shared: a similarity of 42 in 78, 0.538.
+    docs = [(2 * k + j, " ".join(f"w{k}x{i}" for i in range(46)) + " " + " ".join(f"v{k}x{i}y{j}" for i in range(18))) for k in range(40) for j in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.group(df, percent=53).collect()} == {k: k // 2 * 2 for k, _ in docs}
+    assert {r.doc_id: r.component_id for r in jaccard.group(df, percent=54).collect()} == {k: k for k, _ in docs}
+    for percent in (50, 0, 101, 75.5):
+        with pytest.raises(ValueError, match="51 to 100"):
+            jaccard.group(df, percent=percent)
+    sets = spark.createDataFrame([(1, np.arange(100, dtype=np.uint64).tobytes())], "id long, shingles binary")
+    assert set(jaccard.allocation(sets, 75)) == {6}
+    monkeypatch.setattr(jaccard, "FACTORS", (0.3,))
+    with pytest.raises(ValueError, match="64 to 127 shingles"):
+        jaccard.allocation(sets, 75)
+
+
 def test_segments_find_every_similar_pair(spark, monkeypatch):
     """Pairs exactly at the limit, of all sizes, with few segments and left-out shingles."""
     r = np.random.default_rng(0)
