@@ -47,8 +47,9 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, number of tokens and token ids of what is left."""
-    return bpe.encode(docs.select("doc_id", "text"), bpe.vocabulary(vocabulary_path()))
+    """``doc_id``, number of tokens and token ids of what is left, and the hash of the
+    text decoded from the ids."""
+    return bpe.encode(docs.select("doc_id", "text"), bpe.vocabulary(vocabulary_path()), decoded=True)
 
 
 STAGES = [

@@ -249,9 +249,12 @@ def vocabulary(path: str) -> str:
         return f.read()
 
 
-def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """``key, n_tokens, ids`` of every whole text; a null text counts as empty.
 
+    With ``decoded`` also ``decoded_sha256``, the hash of the text that ``decode`` makes
+    from the ids.
+
     One row per input row, repeated or null keys included. Other columns are ignored,
     whatever their names. An empty text has no tokens. ``spec`` is the vocabulary
     file's text; it goes to the executors once, as a broadcast of that bounded size.
@@ -274,9 +277,14 @@ def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text")
                 encoder.forget_long()
                 ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.array(flat, dtype=np.int32)))
                 counts = pa.array(np.diff(np.array(sizes, dtype=np.int64)))
-                yield pa.RecordBatch.from_arrays([piece.column("key"), counts, ids], ["key", "n_tokens", "ids"])
-
-    out = base.mapInArrow(run, f"key {kind}, n_tokens long, ids array<int>")
+                columns = {"key": piece.column("key"), "n_tokens": counts, "ids": ids}
+                if decoded:
+                    texts = (encoder.decode(flat[a:b]) for a, b in zip(sizes[:-1], sizes[1:]))
+                    columns["decoded_sha256"] = pa.array([sha256(t.encode()).hexdigest() for t in texts], pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    more = ", decoded_sha256 string" if decoded else ""
+    out = base.mapInArrow(run, f"key {kind}, n_tokens long, ids array<int>{more}")
     return out.withColumnRenamed("key", key)
 
 

@@ -46,3 +46,19 @@ def test_stages(spark, tmp_path):
         assert list(row.ids) == library.encode(texts[row.doc_id], add_special_tokens=False).ids
     whole = corpus_pipeline.run(spark, sf_dir).toPandas()
     assert set(whole.doc_id) == set(texts.index)
+
+
+def test_tokens_are_decoded(spark):
+    """The last stage decodes its own ids, for repeated, null and empty rows too."""
+    import hashlib
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    docs = [(1, "Two words, 3 numbers\nand a line"), (1, "another text"), (None, "Été à la plage"), (2, ""), (3, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, list(r.ids), r.decoded_sha256) for r in corpus_pipeline.tokens(spark, df, "").collect())
+    want = []
+    for k, text in docs:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want.append((k or 0, ids, hashlib.sha256(decoded.encode()).hexdigest()))
+    assert got == sorted(want)
