@@ -493,6 +493,9 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         "stratified_split": f"{with_tel}, labelled AS (SELECT event_id, {LABEL} AS {K.LABEL} FROM tel) "
         f"SELECT event_id, {K.LABEL}, (row_number() OVER (PARTITION BY {K.LABEL} ORDER BY {HASH}, event_id) "
         f"<= round(2e-1 * count(*) OVER (PARTITION BY {K.LABEL})))::INT AS is_test FROM labelled",
+        "time_split": f"{with_tel}, placed AS (SELECT t_us, row_number() OVER (ORDER BY t_us) AS k FROM tel WHERE t_us IS NOT NULL), "
+        "cut AS (SELECT max(t_us) AS cut FROM placed WHERE k <= (SELECT count(*) - round(2e-1 * count(*)) FROM placed)) "
+        "SELECT event_id, t_us, coalesce(t_us > cut, FALSE)::INT AS is_test FROM tel, cut",
         "train_score": score_facts,
         "boosted_score": score_facts,
         "feature_matrix": f"{with_tel} SELECT event_id, "

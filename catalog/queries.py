@@ -820,6 +820,12 @@ def stratified_split(spark, sf_dir):
     return rows.withColumn("is_test", F.col("is_test").cast("int"))
 
 
+@query
+def time_split(spark, sf_dir):
+    rows = evaluate.time_split(tel(spark, sf_dir).select("event_id", "t_us"))
+    return rows.withColumn("is_test", F.col("is_test").cast("int"))
+
+
 @query
 def feature_matrix(spark, sf_dir):
     df = tel(spark, sf_dir).select(

@@ -1,7 +1,9 @@
-"""Exact stratified split and classification report."""
+"""Exact stratified and time splits, classification report."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace import constants as K
@@ -73,9 +75,33 @@ def stratified_split(
 def time_split(
     df: DataFrame, time: str = "t_us", test_share: float = K.TEST_SHARE
 ) -> DataFrame:
-    """Add ``is_test`` for the latest rows, so neighbours do not leak."""
-    cut = df.approxQuantile(time, [1.0 - test_share], 0.001)[0]
-    return df.withColumn("is_test", F.col(time) > cut)
+    """Add ``is_test`` for the latest rows, so neighbours do not leak.
+
+    Of n rows with a time, the latest round(test_share * n) are the test; rows of one
+    instant stay together, so if the cut falls on an instant, its rows are all trained
+    on. Rows without a time are too. The cut is the exact one: counts per piece of the
+    range of times say in which piece it lies, which is then cut in the same way until
+    one instant is left.
+    """
+    times = df.select(F.col(time).alias("_t")).where("_t is not null")
+    n, low, high = times.agg(F.count(F.lit(1)), F.min("_t"), F.max("_t")).first()
+    # How many of the rows from low to high are at or before the cut.
+    before = n - math.floor(n * test_share + 0.5)
+    if before <= 0:
+        return df.withColumn("is_test", F.col(time).isNotNull())
+    while low < high:
+        share = (F.col("_t") - F.lit(low)).cast("double") / F.lit(float(high - low))
+        piece = F.least(F.floor(share * PIECES), F.lit(PIECES - 1))
+        counts = (
+            times.where(F.col("_t").between(low, high))
+            .groupBy(piece.alias("_piece"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_low"), F.max("_t").alias("_high"))
+        )
+        upto = F.sum("_n").over(Window.orderBy("_piece"))
+        found = counts.withColumn("_upto", upto).where(F.col("_upto") >= before).orderBy("_piece").first()
+        before -= found["_upto"] - found["_n"]
+        low, high = found["_low"], found["_high"]
+    return df.withColumn("is_test", F.coalesce(F.col(time) > F.lit(low), F.lit(False)))
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:

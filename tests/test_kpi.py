@@ -217,6 +217,20 @@ def test_split_is_exact_and_report_matches_ml(spark):
         assert report[name][field] == pytest.approx(evaluator.evaluate(scored))
 
 
+def test_time_split_is_exact(spark):
+    # Times far apart, so that the cut lies in a piece with nearly all rows.
+    times = [k * k for k in range(20_001)] + [10**15, None]
+    df = spark.createDataFrame([(t,) for t in times], "t_us long").repartition(5)
+    got = {r.t_us: r.is_test for r in evaluate.time_split(df).collect()}
+    known = sorted(t for t in times if t is not None)
+    late = set(known[len(known) - round(0.2 * len(known)) :])
+    assert got == {t: t in late for t in times}
+    ties = spark.createDataFrame([(t,) for t in [1, 2, 2, 2, 3]], "t_us long")
+    assert sorted(r.t_us for r in evaluate.time_split(ties, test_share=0.4).where("is_test").collect()) == [3]
+    assert evaluate.time_split(ties, test_share=1.0).where("is_test").count() == 5
+    assert evaluate.time_split(df.limit(0)).count() == 0
+
+
 def test_any_number_of_classes(spark):
     df = spark.range(3000).select(
         F.col("id").alias("event_id"), (F.col("id") % 1500).cast("int").alias(K.LABEL)
