@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, decontaminate, jaccard, language, lines, pii, quality, sharding, sql, substring, vectors
+from millrace.llm import bpe, decontaminate, jaccard, language, lines, pii, quality, sharding, sql, substring, tokenfiles, vectors
+from millrace.session import scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +77,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.group(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Every document's place and checksum, read back from the files of token ids."""
+    out = scratch(spark, "token-ids")
+    tokenfiles.write(_table(spark, sf_dir, "documents"), bpe.vocabulary(path or vocabulary_path()), out)
+    return tokenfiles.positions(spark, out)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -88,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_jaccard_join": op10_jaccard_join,
+        "op12_token_files": op12_token_files,
     }
 
 
