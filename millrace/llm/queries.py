@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, decontaminate, jaccard, language, lines, pii, quality, sharding, sql, substring, tokenfiles, vectors
+from millrace.llm import bpe, decontaminate, jaccard, language, lines, pii, quality, sharding, sql, substring, tokenfiles, vectors, whitening
 from millrace.session import scratch
 
 
@@ -77,6 +77,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.group(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors along the first 16 components, each of variance one."""
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Every document's place and checksum, read back from the files of token ids."""
     out = scratch(spark, "token-ids")
@@ -96,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_whitening": op11_whitening,
         "op12_token_files": op12_token_files,
     }
 
