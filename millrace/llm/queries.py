@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, decontaminate, jaccard, language, lines, pii, quality, sharding, sql, substring, tokenfiles, vectors, whitening
+from millrace.llm import bpe, decontaminate, jaccard, language, lines, negatives, pii, quality, sharding, sql, substring, tokenfiles, vectors, whitening
 from millrace.session import scratch
 
 
@@ -90,6 +90,12 @@ def op12_token_files(spark: SparkSession, sf_dir: str, path: str | None = None)
     return tokenfiles.positions(spark, out)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector and its positives, the best rows of other labels below them."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -104,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_jaccard_join": op10_jaccard_join,
         "op11_whitening": op11_whitening,
         "op12_token_files": op12_token_files,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -115,4 +122,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_embedding_dedup": sql.VECTORS,
         "op7_decontamination": sql.DECONTAMINATE,
         "op10_jaccard_join": sql.JACCARD,
+        "op13_hard_negatives": sql.NEGATIVES,
     }

@@ -10,7 +10,7 @@ the updates' rounding. Only tables of the vectors' size squared reach the driver
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -193,10 +193,10 @@ def whiten(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", m
     model = fit(base, most, batch_rows)
     if model is None or not len(model.values):
         return vectors.sparkSession.createDataFrame([], schema).withColumnRenamed("key", key)
-    shared = vectors.sparkSession.sparkContext.broadcast(model)
+    shared = vectors.sparkSession.sparkContext.broadcast(astuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Whitener(*shared.value)
         turn, share, k = m.vectors / np.sqrt(m.values), m.values / m.trace, len(m.values)
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
