@@ -498,6 +498,7 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         "SELECT event_id, t_us, coalesce(t_us > cut, FALSE)::INT AS is_test FROM tel, cut",
         "train_score": score_facts,
         "boosted_score": score_facts,
+        "softmax_score": f"SELECT *, TRUE AS beats_prior, {len(K.CLASS_NAMES) * K.TREES}::INT AS n_trees FROM ({score_facts})",
         "feature_matrix": f"{with_tel} SELECT event_id, "
         + ", ".join(
             f"coalesce({c}, 0e0) AS {c}"

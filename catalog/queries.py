@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from contextvars import ContextVar
 
@@ -13,7 +14,7 @@ from millrace import constants as K
 from millrace.functions import columns as C, energy as E, scores as S
 from millrace.operators import evaluate, forecast, kpi, ordered as O, status, unify
 from millrace.operators.shards import SHARD, Sharded, shard
-from millrace.plans import pipeline, training
+from millrace.plans import boosting, pipeline, training
 from millrace.session import scratch, use_utc
 from millrace.sources import layers, raw
 from millrace.streaming import transit as live, windows
@@ -871,6 +872,24 @@ def boosted_score(spark, sf_dir):
     return _score_facts(training.score(model, rows.where("is_test")))
 
 
+@query
+def softmax_score(spark, sf_dir):
+    """The same for one ensemble over all classes, with the operator's defaults, and that
+    it explains its training rows better than the class shares do."""
+    rows = _training_rows(spark, sf_dir)
+    path = scratch(spark, "softmax")
+    training.save(training.train(rows.where(~F.col("is_test")), "softmax"), path)
+    model = boosting.Booster.load(spark, path)
+    own = training.score(model, rows.where(~F.col("is_test")))
+    chance = F.element_at("probabilities", F.col(K.LABEL) + 1)
+    loss = own.agg(F.avg(-F.log(chance))).first()[0]
+    counts = [r["count"] for r in own.groupBy(K.LABEL).count().collect()]
+    prior = sum(-n / sum(counts) * math.log(n / sum(counts)) for n in counts)
+    facts = _score_facts(training.score(model, rows.where("is_test")))
+    trees = sum(map(len, model.rounds))
+    return facts.withColumns({"beats_prior": F.lit(loss < prior), "n_trees": F.lit(trees)})
+
+
 def _score_facts(scored: DataFrame) -> DataFrame:
     shares, best = F.col("probabilities"), F.array_max("probabilities")
     total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)

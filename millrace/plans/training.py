@@ -10,12 +10,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace import constants as K
 from millrace.functions.columns import number
 from millrace.operators.evaluate import classification_report
 from millrace.operators.shards import SHARD
+from millrace.plans import boosting
+from millrace.plans.boosting import Booster
 from millrace.sources.layers import DAY
 
 # Columns that are never features: texts, the target, and keys of the layout.
@@ -52,8 +54,9 @@ def feature_matrix(df: DataFrame, features: list[str] | None = None) -> DataFram
 def classifier(kind: str = "forest", seed: int = K.SPLIT_SEED):
     """``forest`` has class probabilities; ``boosted`` is one-against-rest.
 
-    Spark has no boosted trees for more than two classes, so neither equals a
-    native multi-class booster. Depth, rate and tree count are the same.
+    Spark ML has no boosted trees for more than two classes; ``train`` has them as
+    ``softmax``, from :mod:`millrace.plans.boosting`. Depth, rate and tree count are
+    the same for all.
     """
     if kind == "forest":
         return RandomForestClassifier(
@@ -73,9 +76,13 @@ def classifier(kind: str = "forest", seed: int = K.SPLIT_SEED):
 
 def train(
     df: DataFrame, kind: str = "forest", features: list[str] | None = None, estimator=None
-) -> PipelineModel:
-    """Fit on the rows given. The assembler stage keeps the feature names."""
+) -> PipelineModel | Booster:
+    """Fit on the rows given. The assembler stage keeps the feature names.
+
+    ``softmax`` gives a :class:`Booster`, the other kinds an ML pipeline."""
     features = features or feature_names(df)
+    if kind == "softmax":
+        return boosting.fit(df, K.LABEL, features, estimator or boosting.Settings())
     assembler = VectorAssembler(
         inputCols=features, outputCol="features", handleInvalid="error"
     )
@@ -83,16 +90,20 @@ def train(
     return pipeline.fit(feature_matrix(df, features))
 
 
-def model_features(model: PipelineModel) -> list[str]:
+def model_features(model: PipelineModel | Booster) -> list[str]:
+    if isinstance(model, Booster):
+        return model.features
     return model.stages[0].getInputCols()
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: PipelineModel | Booster, df: DataFrame) -> DataFrame:
     """Add ``prediction`` and ``probabilities``, one for each class.
 
     One-against-rest models have a score for each class; their probabilities are the
     binary models' ones, made to add up to 1. The class is the likeliest.
     """
+    if isinstance(model, Booster):
+        return model.score(df)
     scored = model.transform(feature_matrix(df, model_features(model)))
     scored = scored.withColumn("prediction", F.col("prediction").cast("int"))
     if "probability" in scored.columns:
@@ -106,7 +117,10 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.drop("features", "rawPrediction", "probability")
 
 
-def save(model: PipelineModel, path: str) -> None:
+def save(model: PipelineModel | Booster, path: str) -> None:
+    """A pipeline is read again by ``load``, a booster by ``Booster.load``."""
+    if isinstance(model, Booster):
+        return model.save(SparkSession.active(), path)
     model.write().overwrite().save(path)
 
 
@@ -114,5 +128,5 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def report(model: PipelineModel, df: DataFrame) -> DataFrame:
+def report(model: PipelineModel | Booster, df: DataFrame) -> DataFrame:
     return classification_report(score(model, df), K.LABEL, "prediction")
