@@ -459,6 +459,15 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         "kpi_oee_sharded": oee,
         "kpi_oee_as_of": f"{with_tel}, early AS (SELECT * FROM tel WHERE t_us <= {AS_OF_US}), {kpis('early')} "
         f"SELECT line_id, cycles, defect_cycles, {RATES} FROM kpi",
+        "kpi_oee_as_of_indexed": f"{with_tel}, {hidden}, {transit('hidden')}, "
+        f"early AS (SELECT * FROM timed WHERE t_us <= {AS_OF_US}), {kpis('early')}, "
+        f"means AS (SELECT line_id, avg({K.TRANSIT}) AS avg_transit_s FROM early GROUP BY line_id) "
+        f"SELECT line_id, cycles, defect_cycles, {RATES}, {r6('saved_kwh', 'avg_transit_s')} "
+        "FROM kpi JOIN means USING (line_id)",
+        "trailing_as_of_indexed": f"{with_tel}, {hidden}, {INDEXED.format(source='hidden')}, "
+        f"ends AS (SELECT *, max(idx) OVER (PARTITION BY line_id) AS last FROM idx WHERE t_us <= {AS_OF_US}) "
+        f"SELECT {KEYS}, idx, idx - greatest(0, last - 49) AS rel_index, "
+        "Q_VFD1_Temperature, Q_VFD2_Temperature, Q_VFD3_Temperature FROM ends WHERE idx >= last - 49",
         "kpi_availability": of_kpi.format(f"line_id, {r6('elapsed_s', 'operating_s', 'availability')}"),
         "kpi_downtime": of_kpi.format(f"line_id, {r6('estop_s', 'door1_s', 'door2_s', 'downtime_s')}"),
         "kpi_performance": of_kpi.format(f"line_id, cycles, {r6('performance_ratio', 'performance')}"),

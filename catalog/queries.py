@@ -14,7 +14,7 @@ from millrace import constants as K
 from millrace.functions import columns as C, energy as E, scores as S
 from millrace.operators import evaluate, forecast, kpi, ordered as O, status, unify
 from millrace.operators.shards import SHARD, Sharded, shard
-from millrace.plans import boosting, pipeline, training
+from millrace.plans import asof, boosting, pipeline, training
 from millrace.session import scratch, use_utc
 from millrace.sources import layers, raw
 from millrace.streaming import transit as live, windows
@@ -672,6 +672,32 @@ def kpi_oee_as_of(spark, sf_dir):
     return kpi.line_kpis(shard(rows)).selectExpr("line_id", "cycles", "defect_cycles", *rates)
 
 
+def _replay_layer(spark, sf_dir) -> tuple[DataFrame, str]:
+    """Rows stored by day and shard, and the index beside them."""
+    rows = shard(rebuilt(spark, sf_dir).df.drop(SHARD), rows_per_shard=SMALL_SHARD).df
+    rows = rows.withColumn(layers.DAY, F.to_date(F.timestamp_micros("t_us")))
+    path = scratch(spark, "replay")
+    layers.write_layer(rows, path, ("line_id", SHARD, "t_us", "event_id"), arrange=False)
+    asof.build(layers.read_layer(spark, path), f"{path}-index")
+    return layers.read_layer(spark, path), f"{path}-index"
+
+
+@query
+def kpi_oee_as_of_indexed(spark, sf_dir):
+    """OEE, energy and transit as of an instant from the index and one shard of each line."""
+    gold, index = _replay_layer(spark, sf_dir)
+    rates = rounded("availability", "performance", "quality", "oee", "saved_kwh", "avg_transit_s")
+    return asof.line_kpis(gold, index, AS_OF_US).selectExpr("line_id", "cycles", "defect_cycles", *rates)
+
+
+@query
+def trailing_as_of_indexed(spark, sf_dir):
+    """The 50 rows of each line up to an instant, from the shards that hold them."""
+    gold, index = _replay_layer(spark, sf_dir)
+    rows = asof.trailing(gold, index, K.HISTORY_TEMPS, AS_OF_US)
+    return rows.select(*KEYS, "idx", "rel_index", *[K.temperature(d) for d in (1, 2, 3)])
+
+
 @query
 def kpi_availability(spark, sf_dir):
     return kpi.line_kpis(series(spark, sf_dir)).selectExpr(

@@ -108,6 +108,11 @@ def line_kpis(sharded: Sharded, label: str | None = None) -> DataFrame:
         first += [F.sum(K.TRANSIT).alias("_transit"), F.count(K.TRANSIT).alias("_timed")]
         then += [(F.sum("_transit") / F.sum("_timed")).alias("avg_transit_s")]
     kpis = df.groupBy(line, K.CYCLE_COUNT).agg(*first).groupBy(line).agg(*then)
+    return finished(kpis)
+
+
+def finished(kpis: DataFrame) -> DataFrame:
+    """Rates and carbon from the sums, the defect cycles and the ``counter`` of each line."""
     kpis = _rates(kpis.withColumn("cycles", _cycles(F.col("counter"))))
     if "saved_kwh" in kpis.columns:
         kpis = kpis.withColumn("saving_kw", K.LEGACY_KW - F.col("draw_kw"))
