@@ -12,7 +12,8 @@ from millrace.functions.columns import (
     unit_interval,
 )
 from millrace.functions.energy import power_draw, power_saving
-from millrace.operators.ordered import add_dt, add_running
+from millrace.operators import chain
+from millrace.operators.ordered import add_dt
 from millrace.operators.shards import SHARD, Series, Sharded
 
 _SIGNALS = {"estop_s": K.ESTOP, "door1_s": K.DOOR1, "door2_s": K.DOOR2}
@@ -163,6 +164,8 @@ def running_oee(sharded: Sharded, label: str | None = None) -> DataFrame:
     A cycle counts as defective from its first defect row on. Those rows come
     from an aggregate over (line, cycle) and enter the running sums as extra
     rows just before the row they belong to, so no row-by-row join is needed.
+    A sharded source is read twice: the state of the shards and the first defect
+    rows come from one pass, by shard and cycle.
     """
     series = sharded.series
     line = series.line
@@ -175,30 +178,32 @@ def running_oee(sharded: Sharded, label: str | None = None) -> DataFrame:
         K.DOOR2,
         (_label(sharded.df, label) > 0).alias("_defect"),
     )
-    first = (
-        source.where(F.col("_defect") & F.col(K.CYCLE_COUNT).isNotNull())
-        .groupBy(line, K.CYCLE_COUNT)
-        .agg(F.min(F.struct(*series.order, SHARD)).alias("_at"))
-        .select(
-            line,
-            *[F.col("_at")[c].alias(c) for c in (SHARD, *series.order)],
-            F.lit(0).alias("_seq"),
-            F.lit(1).alias("_new_defect"),
-        )
-    )
-    timed = add_dt(sharded.with_df(source), first=0.1, zero_as=None).df
-    both = timed.withColumns({"_seq": F.lit(1), "_new_defect": F.lit(0)}).unionByName(
-        first, allowMissingColumns=True
-    )
-    sums = {
-        "elapsed_s": F.col("dt"),
-        "downtime_s": down_seconds(F.col("dt"))["downtime_s"],
-        "defect_cycles": F.col("_new_defect"),
-    }
-    ordered = Sharded(
-        both, Series(line, series.time, (*series.ties, "_seq")), sharded.single
-    )
-    rows = add_running(ordered, sums).df.where(F.col("_seq") == 1)
+    weights = {"elapsed_s": F.lit(1.0), "downtime_s": F.when(downtime(), 1.0).otherwise(0.0)}
+    defect = F.col("_defect") & F.col(K.CYCLE_COUNT).isNotNull()
+    at = F.min(F.when(defect, F.struct(*series.order, SHARD))).alias("_at")
+    ordered = sharded.with_df(source)
+    state = None
+    if sharded.single:
+        steps = source.groupBy(line, K.CYCLE_COUNT).agg(at)
+    else:
+        steps = chain.time_steps(ordered, weights, (K.CYCLE_COUNT,), (at,))
+    first = steps.groupBy(line, K.CYCLE_COUNT).agg(F.min("_at").alias("_at")).where("_at is not null")
+    first = first.select(line, *[F.col("_at")[c].alias(c) for c in (SHARD, *series.order)])
+    if not sharded.single:
+        found = first.groupBy(line, SHARD).agg(F.count(F.lit(1)).alias("_defects"))
+        counted = steps.unionByName(found, allowMissingColumns=True)
+        state = chain.time_state(ordered, counted, tuple(weights), 0.1, ("_defects",))
+    timed = chain.with_gaps(ordered, state, (*weights, "_defects"), 0.1, "dt")
+    extra = first.withColumns({"_seq": F.lit(0), "_new_defect": F.lit(1)})
+    both = timed.withColumns({"_seq": F.lit(1), "_new_defect": F.lit(0)}).unionByName(extra, allowMissingColumns=True)
+    both = Sharded(both, Series(line, series.time, (*series.ties, "_seq")), sharded.single)
+    running = both.running()
+    sums = {n: F.sum(w * F.col("dt")).over(running) for n, w in weights.items()}
+    sums["_defects"] = F.sum("_new_defect").over(running)
+    rows = both.df.withColumns({f"_now_{n}": s for n, s in sums.items()}).where(F.col("_seq") == 1)
+    for name, shown in (("elapsed_s", "elapsed_s"), ("downtime_s", "downtime_s"), ("_defects", "defect_cycles")):
+        before = F.lit(0) if sharded.single else F.coalesce(F.col(f"_before_{name}"), F.lit(0))
+        rows = rows.withColumn(shown, F.coalesce(F.col(f"_now_{name}"), F.lit(0)) + before)
     rows = rows.withColumns(
         {
             "defect_cycles": F.col("defect_cycles").cast("long"),
@@ -229,8 +234,7 @@ def running_energy(sharded: Sharded) -> DataFrame:
         power_draw().alias("draw_kw"),
         power_saving().alias("saving_kw"),
     )
-    timed = add_dt(sharded.with_df(source), first=0.1, zero_as=None)
-    summed = add_running(timed, {"_saved": F.col("saving_kw") * F.col("dt")}).df
+    summed = chain.add_running_time(sharded.with_df(source), {"_saved": F.col("saving_kw")}).df
     return summed.withColumn("saved_kwh", F.col("_saved") / 3600.0).select(
         series.line,
         *series.order,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace import constants as K
+from millrace.operators import chain
 from millrace.functions.columns import (
     bottleneck,
     defect_label,
@@ -99,38 +100,41 @@ def add_transit(
     ``keep_events`` keeps the flags, ``last_release_us`` and
     ``transit_time_seconds``.
 
-    Event times never fall along a line, so "last" is a maximum and the
-    per-shard summary needs plain hash aggregation only.
+    A sharded source is read twice: once for the state that every shard starts
+    with, once for the rows.
     """
-    edged = add_edges(sharded)
     time = F.col(sharded.series.time)
     if whole_seconds:
         time = F.floor(time / 1_000_000) * 1_000_000
     running = sharded.running()
-    df = edged.df.withColumn(
-        "last_release_us", F.max(F.when(F.col(RELEASE), time)).over(running)
-    )
     if sharded.single:
-        before = F.lit(None).cast("double")
+        df = add_edges(sharded).df
+        known, before = F.lit(None).cast("long"), F.lit(None).cast("double")
     else:
-        received = F.when(F.col(RECEIPT), time)
-        summary = df.groupBy(*sharded.key).agg(
-            F.max("last_release_us").alias("_release"),
-            F.max(received).alias("_receipt"),
-            F.max(F.when(F.col(RECEIPT), F.col("last_release_us"))).alias("_start"),
-        )
-        carried = carry(sharded, summary, {"_release_before": F.max("_release")})
-        measured = F.col("_receipt") - F.coalesce("_start", "_release_before")
-        carried = carry(
-            sharded,
-            carried.withColumn("_transit", measured / 1e6),
-            {"_transit_before": F.last("_transit", ignorenulls=True)},
+        state = chain.transit_state(sharded, time)
+        df = attach(sharded, sharded.df, state, "_prev1", "_prev3", "_release_before", "_transit_before")
+        window = sharded.window()
+        # The time is never NULL, so a NULL before it marks a shard's first row.
+        df = df.withColumns(
+            {
+                "_first": F.lag(sharded.series.time).over(window).isNull(),
+                "_lag1": F.lag(K.STOPPER1).over(window),
+                "_lag3": F.lag(K.STOPPER3).over(window),
+            }
         )
-        df = attach(sharded, df, carried, "_release_before", "_transit_before")
-        df = df.withColumn(
-            "last_release_us", F.coalesce("last_release_us", "_release_before")
+        previous1, previous3 = (
+            F.when(F.col("_first"), F.col(f"_prev{n}")).otherwise(F.col(f"_lag{n}")) for n in (1, 3)
         )
-        before = F.col("_transit_before")
+        df = df.withColumns(
+            {
+                RELEASE: chain.falls(K.STOPPER1, previous1),
+                RECEIPT: chain.rises(K.STOPPER3, previous3),
+            }
+        ).drop("_first", "_lag1", "_lag3", "_prev1", "_prev3")
+        known, before = F.col("_release_before"), F.col("_transit_before")
+    df = df.withColumn(
+        "last_release_us", F.coalesce(F.max(F.when(F.col(RELEASE), time)).over(running), known)
+    )
     df = df.withColumn(
         "transit_time_seconds",
         F.when(F.col(RECEIPT), (time - F.col("last_release_us")) / 1e6),
