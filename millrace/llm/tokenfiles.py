@@ -17,6 +17,7 @@ is run again replaces its file, and nothing passes through the driver.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 import zlib
@@ -35,7 +36,9 @@ FILE_IDS = 1 << 24
 #: Ids that are packed at a time.
 SEGMENT = 256 * patched.BLOCK
 #: Strings whose ids a task remembers, and the longest that it does.
-REMEMBERED, LONGEST_REMEMBERED = 600_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 1_200_000, 48
+#: Bytes of text that are encoded at a time.
+PIECE_BYTES = 6_000_000
 #: Files whose starts are broadcast to be joined to their documents, at most.
 BROADCAST_FILES = 200_000
 
@@ -67,16 +70,19 @@ class WordEncoder:
         self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.space = self.letters.pre_tokenize_str(" ")[0][0]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         split = [(_SPACE.sub(" ", t).strip(" ").split(" ") if t else []) if _CONTROLS.search(t) else t.split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if len(self.known) > REMEMBERED // 2:  # what is used again comes back from the older half
+            self.known, self.older = {}, self.known
         found = [list(map(self.known.get, s)) for s in split]
         lacking = [k for k, f in enumerate(found) if None in f]
         new = {w for k in lacking for w, f in zip(split[k], found[k]) if f is None}
-        self.learn(new)
+        kept = {w: ids for w in new if (ids := self.older.get(w)) is not None}
+        self.known |= kept
+        self.learn(new.difference(kept))
         for k in lacking:
             found[k] = [self.known[w] if f is None else f for w, f in zip(split[k], found[k])]
         for w in [w for w in new if len(w) > LONGEST_REMEMBERED]:
@@ -84,22 +90,39 @@ class WordEncoder:
         return [b"".join(f) for f in found]
 
     def learn(self, new: set[str]) -> None:
-        known, composed, rest = self.known, [], []
+        """Words of letters count in lower case and without the marks behind them."""
+        known, rest, lower, cores = self.known, [], {}, set()
         for w in new:
-            low = w.lower() if w.isascii() else w
-            core = low.rstrip(_MARKS)
-            # Of these letters all Unicode versions in use know the same.
-            if core.isalpha() and (core.isascii() or max(core) < "\u0530" and "\u0130" not in core):
-                composed.append((w, core, low[len(core) :]))
+            if not w.isascii():
+                core = w.rstrip(_MARKS)
+                # Of these letters all Unicode versions in use know the same.
+                if core.isalpha() and max(core) < "\u0530" and "\u0130" not in core:
+                    lower[w] = w
+                    cores.add(core)
+                else:
+                    rest.append(w)
+            elif (core := (low := w.lower()).rstrip(_MARKS)).isalpha():
+                lower[w] = low
+                cores.add(core)
             else:
                 rest.append(w)
-        cores = list({core for _, core, _ in composed if core not in known})
-        marks = list({mark for _, _, mark in composed if mark and mark not in known})
-        fresh = dict(zip(cores, self._words(cores))) | dict(zip(marks, self._each(marks)))
-        for w, core, mark in composed:
-            ids = fresh.get(core) or known[core]
-            known[w] = ids + (fresh.get(mark) or known[mark]) if mark else ids
-        known |= fresh
+        older = self.older.get
+        cores = [c for c in cores if c not in known]
+        again = {c: ids for c in cores if (ids := older(c))}
+        known |= again
+        cores = [c for c in cores if c not in again] if again else cores
+        plain, other = [c for c in cores if c.isascii()], [c for c in cores if not c.isascii()]
+        known |= zip(plain, self._tokenized(plain))
+        known |= zip(other, self._words(other))
+        marked = []
+        for w, low in lower.items():
+            if (ids := known.get(low)) is None:
+                marked.append((w, core := low.rstrip(_MARKS), low[len(core) :]))
+            else:
+                known[w] = ids
+        marks = list({mark for _, _, mark in marked if mark not in known})
+        known |= zip(marks, self._each(marks))
+        known |= ((w, known[core] + known[mark]) for w, core, mark in marked)
         known |= zip(rest, self._each(rest))
 
     def _each(self, strings: list[str]) -> list[bytes]:
@@ -112,23 +135,13 @@ class WordEncoder:
         spread = self.letters.pre_tokenize_str(self.library.normalizer.normalize_str(" ".join(cores)))[0][0].split(self.space)
         if len(spread) != len(cores):
             return self._each(cores)
-        tokenize = self.library.model.tokenize
-        return [struct.pack(f"<{len(t)}I", *[x.id for x in t]) for t in map(tokenize, spread)]
-
+        return self._tokenized(spread)
 
-class Shared:
-    """A vocabulary file's text and, in each Python worker, the encoder made from it."""
-
-    def __init__(self, spec: str):
-        self.spec, self.made = spec, None
-
-    def __getstate__(self):
-        return {"spec": self.spec, "made": None}
-
-    def encoder(self) -> WordEncoder:
-        if self.made is None:
-            self.made = WordEncoder(self.spec)
-        return self.made
+    def _tokenized(self, spread: list[str]) -> list[bytes]:
+        """Ids of words written in byte letters, which ASCII letters are already."""
+        pack = {n: struct.Struct(f"<{n}I").pack for n in range(1, 9)}
+        found = [[x.id for x in t] for t in map(self.library.model.tokenize, spread)]
+        return [pack[len(f)](*f) if len(f) < 9 else struct.pack(f"<{len(f)}I", *f) for f in found]
 
 
 class Writer:
@@ -209,7 +222,7 @@ def write(docs: DataFrame, spec: str, path: str, key: str = "doc_id", text: str
     The order is dealt out over tasks by key, then text, then row, so neither one key nor
     one repeated row has to fit into one task.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Shared(spec))
+    shared = docs.sparkSession.sparkContext.broadcast({"spec": spec})
     last = b"" if end_id is None else struct.pack("<I", end_id)
     base = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     base = base.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
@@ -217,15 +230,21 @@ def write(docs: DataFrame, spec: str, path: str, key: str = "doc_id", text: str
     base = base.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = shared.value.encoder(), Writer(TaskContext.get().partitionId())
-        for batch in batches:
-            for piece in words.pieces(batch, "text"):
-                found = encoder.ids(piece.column("text").to_pylist())
-                for k, ids in zip(piece.column("key").to_pylist(), found):
-                    if body := writer.add(k, ids + last):
-                        yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["body"])
-        if body := writer.close():
-            yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["body"])
+        # A worker keeps a broadcast's value from task to task, and so what it has learned.
+        made, writer = shared.value, Writer(TaskContext.get().partitionId())
+        encoder = made["encoder"] = made.get("encoder") or WordEncoder(made["spec"])
+        gc.disable()  # nothing here is cyclic, and the memory of strings is dear to go through
+        try:
+            for batch in batches:
+                for piece in words.pieces(batch, "text", PIECE_BYTES):
+                    found = encoder.ids(piece.column("text").to_pylist())
+                    for k, ids in zip(piece.column("key").to_pylist(), found):
+                        if body := writer.add(k, ids + last):
+                            yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["body"])
+            if body := writer.close():
+                yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["body"])
+        finally:
+            gc.enable()
 
     files = base.mapInArrow(run, "body binary").select(F.col("body").cast("string").alias("value"))
     files.write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
