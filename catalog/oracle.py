@@ -332,6 +332,18 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         + ", ".join(c for c in K.SOURCE_COLUMNS["conveyor"] if c not in K.MASKED_COLUMNS)
         + " FROM tel",
         "unify_sources": f"{with_tel}, {JOINED_SQL} SELECT {KEYS}, t_us, {sources} FROM joined",
+        "unify_hot_instant": f"{with_tel}, few AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS n "
+        "FROM tel WHERE line_id = 0 AND event_id % 41 = 8 ORDER BY event_id LIMIT 3), "
+        + ", ".join(
+            f"{name} AS (SELECT line_id, CASE WHEN {at} THEN 0 ELSE t_us END AS t_us, event_id AS {name}_id, "
+            f"{', '.join(K.SOURCE_COLUMNS[name][:2])} FROM tel)"
+            for name, at in (
+                ("conveyor", "line_id = 0 AND event_id % 3 = 0"),
+                ("safety", "event_id IN (SELECT event_id FROM few)"),
+                ("cycle", "event_id IN (SELECT event_id FROM few WHERE n = 1)"),
+            )
+        )
+        + " SELECT * FROM conveyor JOIN safety USING (line_id, t_us) JOIN cycle USING (line_id, t_us)",
         "silver_roundtrip": f"{joined_hidden}, {transit('hidden')} SELECT {KEYS}, t_us, "
         f"Q_VFD2_Temperature, {K.TRANSIT}, {K.STOPPER1}, Description FROM timed",
         "asof_prefix_gold": early_gold,

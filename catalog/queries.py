@@ -210,6 +210,26 @@ def unify_sources(spark, sf_dir):
     return unify.unify(sources)
 
 
+@query
+def unify_hot_instant(spark, sf_dir):
+    """Sources of which one has a third of a line's rows at one instant, and another a few."""
+    df = tel(spark, sf_dir)
+    chosen = df.where("line_id = 0 AND event_id % 41 = 8").select("event_id")
+    few = [r[0] for r in chosen.orderBy("event_id").limit(3).collect()]
+    moved = {
+        "conveyor": (F.col("line_id") == 0) & (F.col("event_id") % 3 == 0),
+        "safety": F.col("event_id").isin(few),
+        "cycle": F.col("event_id").isin(few[:1]),
+    }
+    sources = [
+        df.withColumn("t_us", F.when(at, 0).otherwise(F.col("t_us"))).select(
+            "line_id", "t_us", F.col("event_id").alias(f"{name}_id"), *K.SOURCE_COLUMNS[name][:2]
+        )
+        for name, at in moved.items()
+    ]
+    return unify.unify(sources, hot_rows=20)
+
+
 def _silver(spark, sf_dir, small: bool = False) -> tuple[str, DataFrame]:
     root = _bronze(spark, sf_dir)
     limit = SMALL_SHARD if small else None

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace import constants as K
 from millrace.operators.ordered import add_features, rebuild_hidden
 from millrace.operators.shards import SHARD, Series, shard
-from millrace.operators.unify import unify
+from millrace.operators.unify import HOT_ROWS, unify
 from millrace.session import use_utc
 from millrace.sources.layers import (
     DAY,
@@ -47,7 +47,8 @@ def unified(
 ) -> DataFrame:
     """Bronze sources joined on (line, instant).
 
-    Files of a plant with one line carry no line column; name it in ``line``.
+    Files of a plant with one line carry no line column; name it in ``line``. An instant
+    that very many rows share is spread over tasks.
     """
     sources = []
     for name in K.SOURCES:
@@ -57,7 +58,7 @@ def unified(
         if name != "conveyor":
             df = df.drop(K.TIME_TEXT, "timestamp", DAY)
         sources.append(df)
-    return unify(sources)
+    return unify(sources, hot_rows=HOT_ROWS)
 
 
 def silver(
