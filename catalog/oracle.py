@@ -537,8 +537,9 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         f"round(sum(CASE WHEN {D2} = 0e0 THEN dt ELSE 0e0 END), 6) AS door2_s, "
         f"round(sum(CASE WHEN {DOWN} THEN dt ELSE 0e0 END), 6) AS downtime_s, "
         "round(sum((6e1 - row_draw) * dt / 36e2), 6) AS saved_kwh FROM windowed "
-        f"WHERE start + {window_us} <= (SELECT max(t_us) FROM tel) - 60000000 GROUP BY line_id, start",
-        "stream_unify": f"{with_tel} SELECT {KEYS}, t_us, {K.STOPPER1}, {ES}, {CYC}, Description FROM tel "
-        "WHERE event_id % 41 NOT BETWEEN 1 AND 3",
+        "GROUP BY line_id, start",
+        "stream_unify": f"{with_tel} SELECT {KEYS}, t_us, "
+        f"{', '.join(c for n in K.SOURCES for c in K.SOURCE_COLUMNS[n])} FROM tel "
+        "WHERE event_id % 41 NOT BETWEEN 1 AND 7",
     }
     return found | {f"{name}_sharded": found[name] for name in TWINS}

@@ -998,7 +998,7 @@ def stream_transit(spark, sf_dir):
 
 @query
 def stream_downtime(spark, sf_dir):
-    """Downtime and energy per line and closed window, over streamed gaps."""
+    """Downtime and energy per line and window, the open ones included, over streamed gaps."""
     df = tel(spark, sf_dir).select(
         *KEYS,
         "t_us",
@@ -1018,7 +1018,7 @@ def stream_downtime(spark, sf_dir):
     stamped = timed.withColumn("timestamp", F.timestamp_micros("t_us"))
     stream = _stream_source(session, stamped)
     result = windows.windowed_kpis(stream, unique=["event_id"])
-    rows = windows.run_append(result, scratch(spark, "windows"))
+    rows = windows.run_update(result, scratch(spark, "windows"), ("line_id", "window_start"))
     sums = ("elapsed_s", "estop_s", "door1_s", "door2_s", "downtime_s", "saved_kwh")
     return rows.selectExpr(
         "line_id",
@@ -1030,13 +1030,15 @@ def stream_downtime(spark, sf_dir):
 
 @query
 def stream_unify(spark, sf_dir):
-    """Conveyor, safety and cycle streams aligned on line and instant."""
+    """All seven source streams aligned on line and instant; equals the batch join."""
     session, streams = _stream_session(spark), []
-    for name in ("conveyor", "safety", "cycle"):
+    for name in K.SOURCES:
         source = raw_source(spark, sf_dir, name)
         stamped = source.withColumn("timestamp", C.parse_time(F.col(K.TIME_TEXT)))
         timed = stamped.drop(K.TIME_TEXT).withColumn("t_us", F.unix_micros("timestamp"))
         stream = _stream_source(session, timed.where(F.col("t_us").isNotNull()))
         streams.append(stream if name == "conveyor" else stream.drop("t_us"))
-    rows = windows.run_append(windows.unify_streams(streams), scratch(spark, "aligned"))
-    return rows.select(*KEYS, "t_us", K.STOPPER1, K.ESTOP, K.CYCLE_COUNT, K.DESCRIPTION)
+    keys = ("line_id", "timestamp")
+    gathered = windows.run_update(windows.align_streams(streams, keys), scratch(spark, "aligned"), keys)
+    columns = [c for n in K.SOURCES for c in K.SOURCE_COLUMNS[n]]
+    return windows.aligned(gathered, keys).select(*KEYS, "t_us", *columns)

@@ -85,6 +85,70 @@ def test_repeated_rows_count_once(spark, tmp_path):
     assert got == [(m, 20, 600.0) for m in (0, 10, 20, 30)]
 
 
+def test_open_windows_are_replaced(spark, tmp_path):
+    """Every window comes out, with the rows of all batches, and a restart goes on."""
+    columns = [K.ESTOP, K.DOOR1, K.DOOR2, *[K.temperature(d) for d in K.DRIVES]]
+    df = spark.range(100).select(
+        F.lit(1).alias("line_id"),
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(3_600 + F.col("id") * 30).alias("timestamp"),
+        F.lit(30.0).alias("dt"),
+        *[F.lit(1.0).alias(c) for c in columns],
+    )
+
+    def run():
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        result = windows.windowed_kpis(stream, unique=["event_id"])
+        rows = windows.run_update(result, str(tmp_path / "out"), ("line_id", "window_start"))
+        return sorted((r.window_start.minute, r.n_rows, r.elapsed_s) for r in rows.collect())
+
+    df.where("event_id < 50").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run() == [(0, 20, 600.0), (10, 20, 600.0), (20, 10, 300.0)]
+    df.where("event_id >= 45").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run() == [(m, 20, 600.0) for m in (0, 10, 20, 30, 40)]
+
+
+def test_sources_of_different_pace(spark, tmp_path):
+    """Repeated instants multiply, missing ones don't come out, a late source completes."""
+    at = F.timestamp_seconds(F.col("id") * 10)
+    sources = []
+    for n in range(3):
+        path = str(tmp_path / f"s{n}")
+        base = spark.range(40).where(F.col("id") % 7 != n)
+        if n == 1:
+            base = base.unionByName(base.where("id < 3"))
+        df = base.select((F.col("id") % 2).alias("line_id"), at.alias("timestamp"), F.col("id").alias(f"v{n}"))
+        for low in range(0, 40, 10 if n else 40):
+            df.where(F.col(f"v{n}").between(low, low + (9 if n else 39))).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        sources.append((df, stream))
+    keys = ("line_id", "timestamp")
+    gathered = windows.run_update(windows.align_streams([s for _, s in sources], keys), str(tmp_path / "out"), keys)
+    got = sorted(tuple(r) for r in windows.aligned(gathered, keys).collect())
+    batch = sources[0][0]
+    for df, _ in sources[1:]:
+        batch = batch.join(df, list(keys))
+    assert got == sorted(tuple(r) for r in batch.collect()) and len(got) > 15
+
+
+def test_state_of_aligned_instants_is_dropped(spark, tmp_path):
+    schema = "line_id long, timestamp timestamp, a long"
+    path = str(tmp_path / "a")
+    for k in range(3):
+        rows = spark.range(50).selectExpr("0 AS line_id", f"timestamp_seconds({k} * 100000 + id) AS timestamp", "id AS a")
+        rows.coalesce(1).write.mode("append").parquet(path)
+    one = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    both = windows.align_streams([one, one.withColumnRenamed("a", "b")])
+    query = (
+        both.writeStream.foreachBatch(lambda batch, number: batch.count())
+        .outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    states = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]]
+    assert all(len(s) == 1 for s in states)
+    assert states[-1][0]["numRowsTotal"] <= 50 < 150
+
+
 def test_thin_slices_stay_apart(spark):
     from catalog import queries as Q
 
