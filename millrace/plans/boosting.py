@@ -34,6 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 16_384
 COMMIT = 5
+# Sums of so few tasks are added up by the driver.
+FEW_PARTS = 16
 # Relative error of the quantiles that place the bins, as a share of a bin.
 QUANTILE_ERROR = 0.1
 
@@ -99,23 +101,26 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def sums_by_bin(block: Block, since: list[list[Tree]], trees: list[Tree], level: int, bins: int) -> np.ndarray:
-    """Gradients and hessians by (class, node of the level, feature, bin)."""
+def sums_by_bin(block: Block, since: list[list[Tree]], trees: list[Tree], opened: list[tuple[int, int]], bins: int) -> np.ndarray:
+    """Gradients and hessians by (open node, feature, bin); a node is (class, number)."""
     share = softmax(_scores(block, since))
-    classes, width, first = len(trees), block.bins.shape[1], 2**level - 1
-    out = np.zeros((classes, 2**level, width, bins, 2))
-    for c, tree in enumerate(trees):
-        node = tree.nodes(block.bins) - first
-        rows = np.flatnonzero(node >= 0)  # others ended in a leaf above
+    width = block.bins.shape[1]
+    out = np.zeros((len(opened), width, bins, 2))
+    for c in sorted({c for c, _ in opened}):
+        slots = [k for k, (own, _) in enumerate(opened) if own == c]
+        slot_of = np.full(len(trees[c].feature), -1, np.int64)
+        slot_of[[opened[k][1] for k in slots]] = np.arange(len(slots))
+        slot = slot_of[trees[c].nodes(block.bins)]
+        rows = np.flatnonzero(slot >= 0)
         if not len(rows):
             continue
         p = share[rows, c]
         gradient = p - (block.classes[rows] == c)
         hessian = np.maximum(2 * p * (1 - p), 1e-16)
-        place = (node[rows, None] * width + np.arange(width)) * bins + block.bins[rows]
+        place = ((slot[rows, None] * width + np.arange(width)) * bins + block.bins[rows]).ravel()
         for k, value in enumerate((gradient, hessian)):
-            added = np.bincount(place.ravel(), np.repeat(value, width), minlength=2**level * width * bins)
-            out[c, ..., k] = added.reshape(2**level, width, bins)
+            added = np.bincount(place, np.repeat(value, width), minlength=len(slots) * width * bins)
+            out[slots[0] : slots[-1] + 1, ..., k] = added.reshape(len(slots), width, bins)
     return out
 
 
@@ -126,29 +131,32 @@ def _scores(block: Block, rounds: list[list[Tree]]) -> np.ndarray:
     return scores
 
 
-def split(trees: list[Tree], level: int, sums: np.ndarray, s: Settings) -> bool:
-    """Cuts the nodes of a level where that gains most; whether there was any."""
-    first, any_split = 2**level - 1, False
-    for c, tree in enumerate(trees):
-        total = sums[c, :, 0].sum(axis=1)  # every feature sees all rows of a node
-        if level == 0:
-            tree.value[0] = -s.rate * total[0, 0] / (total[0, 1] + s.penalty)
-        left = sums[c].cumsum(axis=2)
-        right = total[:, None, None] - left
-        quality = lambda x: x[..., 0] ** 2 / (x[..., 1] + s.penalty)
-        gain = quality(left) + quality(right) - quality(total)[:, None, None]
-        gain[(left[..., 1] < s.least_hessian) | (right[..., 1] < s.least_hessian)] = -np.inf
-        flat = gain.reshape(len(gain), -1)
-        best = flat.argmax(axis=1)
-        for node in np.flatnonzero(flat[np.arange(len(flat)), best] > 1e-6):
-            feature, cut = divmod(int(best[node]), gain.shape[2])
-            at = first + node
-            tree.feature[at], tree.cut[at], tree.gain[at] = feature, cut, flat[node, best[node]]
-            for child, side in ((2 * at + 1, left), (2 * at + 2, right)):
-                g, h = side[node, feature, cut]
-                tree.value[child] = -s.rate * g / (h + s.penalty)
-            any_split = True
-    return any_split
+def split(trees: list[Tree], opened: list[tuple[int, int]], sums: np.ndarray, s: Settings) -> list[tuple[int, int]]:
+    """Cuts the open nodes where that gains most; their children that may be cut in turn,
+    ordered by class."""
+    total = sums[:, 0].sum(axis=1)  # every feature sees all rows of a node
+    left = sums.cumsum(axis=2)
+    right = total[:, None, None] - left
+    quality = lambda x: x[..., 0] ** 2 / (x[..., 1] + s.penalty)
+    gain = quality(left) + quality(right) - quality(total)[:, None, None]
+    gain[(left[..., 1] < s.least_hessian) | (right[..., 1] < s.least_hessian)] = -np.inf
+    flat = gain.reshape(len(gain), -1)
+    best = flat.argmax(axis=1)
+    further = []
+    for k, (c, at) in enumerate(opened):
+        tree = trees[c]
+        if at == 0:
+            tree.value[0] = -s.rate * total[k, 0] / (total[k, 1] + s.penalty)
+        if not flat[k, best[k]] > 1e-6:
+            continue
+        feature, cut = divmod(int(best[k]), gain.shape[2])
+        tree.feature[at], tree.cut[at], tree.gain[at] = feature, cut, flat[k, best[k]]
+        for child, side in ((2 * at + 1, left), (2 * at + 2, right)):
+            g, h = side[k, feature, cut]
+            tree.value[child] = -s.rate * g / (h + s.penalty)
+            if h >= 2 * s.least_hessian and 2 * child + 2 < len(tree.feature):
+                further.append((c, child))
+    return further
 
 
 @dataclass
@@ -295,10 +303,10 @@ def fit(df: DataFrame, label: str = K.LABEL, features: list[str] | None = None,
     base, since = _kept(_blocks(rows, model, label), spark), []
     for number in range(s.rounds):
         trees = [Tree.bare(s.depth) for _ in classes]
-        for level in range(s.depth):
-            sums = _reduced(base, spark, since, trees, level, bins)
-            if not split(trees, level, sums, s):
-                break
+        opened = [(c, 0) for c in range(len(classes))]
+        while opened:
+            sums = _reduced(base, since, trees, opened, bins)
+            opened = split(trees, opened, sums, s)
         model.rounds.append(trees)
         since = [*since, trees]
         if len(since) == COMMIT and number + 1 < s.rounds:
@@ -310,18 +318,18 @@ def fit(df: DataFrame, label: str = K.LABEL, features: list[str] | None = None,
     return model
 
 
-def _reduced(blocks: RDD, spark: SparkSession, since, trees, level: int, bins: int) -> np.ndarray:
-    shared = spark.sparkContext.broadcast(cloudpickle.dumps((since, trees)))
+def _reduced(blocks: RDD, since: list[list[Tree]], trees: list[Tree], opened: list[tuple[int, int]], bins: int) -> np.ndarray:
+    """The sums of all blocks. Many tasks' sums are added up on the executors first."""
 
     def own(part: Iterator[Block]) -> Iterator[np.ndarray]:
-        before, growing = cloudpickle.loads(shared.value)
         total = None
         for block in part:
-            sums = sums_by_bin(block, before, growing, level, bins)
+            sums = sums_by_bin(block, since, trees, opened, bins)
             total = sums if total is None else total + sums
         if total is not None:
             yield total
 
-    found = blocks.mapPartitions(own).treeReduce(lambda a, b: a + b, depth=2)
-    shared.unpersist()
-    return found
+    found = blocks.mapPartitions(own)
+    if blocks.getNumPartitions() <= FEW_PARTS:
+        return found.reduce(lambda a, b: a + b)
+    return found.treeReduce(lambda a, b: a + b, depth=2)
