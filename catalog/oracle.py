@@ -351,6 +351,7 @@ round(availability * greatest(0e0, least(1e0, performance_ratio)) * quality, 6)
         "printf('%+.1f', (event_id % 21 - 10) * 5e-1) AS change_text FROM tel",
         "gold_roundtrip": gold,
         "gold_roundtrip_sharded": gold,
+        "gold_by_part": gold,
         "load_gold": f"{with_tel}, kept AS (SELECT * FROM tel WHERE event_id % 41 <> 1) "
         f"SELECT {KEYS}, make_timestamp(t_us) AS timestamp, "
         f"round(coalesce((t_us - lag(t_us) OVER {OVER}) / 1e6, 1e-1), 6) AS dt FROM kept",

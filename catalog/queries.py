@@ -13,8 +13,8 @@ from catalog.workbooks import write_workbooks
 from millrace import constants as K
 from millrace.functions import columns as C, energy as E, scores as S
 from millrace.operators import evaluate, forecast, kpi, ordered as O, status, unify
-from millrace.operators.shards import SHARD, Sharded, shard
-from millrace.plans import asof, boosting, pipeline, training
+from millrace.operators.shards import SHARD, Series, Sharded, shard
+from millrace.plans import asof, boosting, daily, pipeline, training
 from millrace.session import scratch, use_utc
 from millrace.sources import layers, raw
 from millrace.streaming import transit as live, windows
@@ -277,6 +277,27 @@ def gold_roundtrip_sharded(spark, sf_dir):
     return _gold_report(pipeline.gold(spark, root, ties=("event_id",)))
 
 
+def _parted(spark, sf_dir, root: str, parts: int) -> daily.PartedLayers:
+    """Layers refreshed in stretches of time one after another, over small shards."""
+    stored = _bronze(spark, sf_dir)
+    made = daily.PartedLayers(spark, root, Series("line_id", "t_us", ("event_id",)))
+    sources = []
+    for name in K.SOURCES:
+        df = layers.read_bronze(spark, pipeline.layer_path(stored, "bronze", name), _KEPT)
+        sources.append(df if name == "conveyor" else df.drop(K.TIME_TEXT, "timestamp", layers.DAY))
+    low, high = sources[0].agg(F.min("t_us"), F.max("t_us")).first()
+    part = F.floor((F.col("t_us") - low) * parts / (high - low + 1))
+    for number in range(parts):
+        made.refresh(f"{number:03d}", [s.where(part == number) for s in sources], SMALL_SHARD)
+    return made
+
+
+@query
+def gold_by_part(spark, sf_dir):
+    """Gold refreshed in three parts, each from its own rows and the state before it."""
+    return _gold_report(_parted(spark, sf_dir, scratch(spark, "parts"), 3).read(daily.GOLD))
+
+
 @query
 def asof_prefix_gold(spark, sf_dir):
     """Stored gold as of an instant; the days after it are not read."""

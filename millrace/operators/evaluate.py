@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace import constants as K
+from millrace.session import checkpointed
 
 # Rows are shuffled by a linear hash modulo a prime, and the hash range is cut
 # into pieces; only the piece a class's cut falls into is ranked row by row.
@@ -55,7 +56,8 @@ def stratified_split(
             F.min_by(F.col("_take") - F.col("_upto") + F.col("_n"), "_piece").alias("_rest"),
         )
     )
-    if cuts.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
+    cuts = checkpointed(cuts)
+    if cuts.count() <= BROADCAST_CLASSES:
         cuts = F.broadcast(cuts)
     placed = df.withColumn("_piece", piece).join(
         cuts, F.col(label).eqNullSafe(F.col("_class")), "left"

@@ -186,9 +186,10 @@ def attach(
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Broadcast a table that is counted to be small; else leave the join to Spark."""
-    few = df.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS
-    return F.broadcast(df) if few else df
+    """Broadcast a table that is counted to be small; else leave the join to Spark.
+
+    Give it a stored table, as it is run for the count."""
+    return F.broadcast(df) if df.count() <= BROADCAST_PAIRS else df
 
 
 def previous(sharded: Sharded, names: dict[str, str]) -> DataFrame:

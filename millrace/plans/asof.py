@@ -150,7 +150,7 @@ def trailing(gold: DataFrame, path: str, rows: int, time_us: int, series: Series
     found = _rows_of(gold, chosen.select(line, SHARD, "first_t", "rows_before"), time_us, series)
     within = Window.partitionBy(line, SHARD).orderBy(*series.order)
     found = found.withColumn("idx", F.col("rows_before") + F.row_number().over(within) - 1)
-    end = found.groupBy(line).agg(F.max("idx").alias("_end")).withColumnRenamed(line, "_line")
-    found = found.join(small(end), F.col(line).eqNullSafe(F.col("_line"))).where(F.col("idx") > F.col("_end") - rows)
+    end = F.max("idx").over(Window.partitionBy(line))
+    found = found.withColumn("_end", end).where(F.col("idx") > F.col("_end") - rows)
     start = F.greatest(F.lit(0), F.col("_end") - (rows - 1))
-    return found.withColumn("rel_index", F.col("idx") - start).drop("_end", "_line", "first_t", "rows_before", SHARD)
+    return found.withColumn("rel_index", F.col("idx") - start).drop("_end", "first_t", "rows_before", SHARD)
