@@ -198,3 +198,36 @@ def test_compressed_text_beside_a_workbook(spark, tmp_path):
 
 def test_headers_that_need_quoting(spark):
     assert raw.clean_name(" A.b`c\td ") == "Abc_d"
+
+
+def test_many_files_with_few_headers(spark, tmp_path):
+    """What the driver gets grows with the distinct headers, not with the files."""
+    for k in range(120):
+        folder = tmp_path / f"d {k % 5}"
+        folder.mkdir(exist_ok=True)
+        if k % 3 == 0:
+            (folder / f"{k}.csv").write_text(f"_time,Load (N)\nt{k},{k}\n")
+        elif k % 3 == 1:
+            (folder / f"{k}.csv").write_bytes(f'﻿Load (N),"_time",Other\r\n{k},"t,{k}",1\r\n\r\n'.encode())
+        else:
+            (folder / f"{k}.csv").write_text("")
+    looked = raw.look_into(spark, str(tmp_path)).where("header != ''")
+    assert looked.select("kind", "header").distinct().count() == 2 and looked.count() == 80
+    got = raw.load_raw(spark, str(tmp_path), [K.TIME_TEXT, "Load_N", "Missing"])
+    assert got.columns == [K.TIME_TEXT, "Load_N", "Missing"]
+    want = sorted([(f"t{k}" if k % 3 == 0 else f"t,{k}", float(k), None) for k in range(120) if k % 3 < 2])
+    assert sorted(map(tuple, got.collect())) == want
+    whole = raw.load_raw(spark, str(tmp_path))
+    assert set(whole.columns) == {K.TIME_TEXT, "Load_N", "Other"} and whole.count() == 80
+    one = raw.load_raw(spark, str(tmp_path / "d 0"), [K.TIME_TEXT, "Load_N"])
+    assert one.count() == 16 and len(one.inputFiles()) >= 16
+
+
+def test_files_of_one_kind_are_not_listed(spark, tmp_path, monkeypatch):
+    for k in range(30):
+        (tmp_path / f"{k}.csv").write_text(f"_time,Load (N)\nt{k},{k}\n")
+    asked = []
+    read = raw._read
+    monkeypatch.setattr(raw, "_read", lambda spark, path, *rest: asked.append(path) or read(spark, path, *rest))
+    assert raw.load_raw(spark, str(tmp_path), [K.TIME_TEXT, "Load_N"]).count() == 30
+    assert asked == [str(tmp_path)]
