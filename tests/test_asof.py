@@ -3,14 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from catalog.queries import rebuilt
 from millrace import constants as K
 from millrace.operators import kpi, ordered as O
 from millrace.operators.shards import SHARD, Series, shard
 from millrace.plans import asof
 from millrace.sources import layers
-from tests.check import compare, connect
 
 NAMES = ["line_id", "cycles", "defect_cycles", "elapsed_s", "downtime_s", "oee", "saved_kwh", "draw_kw", "avg_transit_s"]
 
@@ -28,11 +26,6 @@ def layer(spark, tmp_path_factory):
     return gold, f"{path}/index"
 
 
-@pytest.mark.parametrize("name", ["kpi_oee_as_of_indexed", "trailing_as_of_indexed"])
-def test_sql(spark, sf_dir, name):
-    assert compare(entry.queries()[name](spark, sf_dir), connect(sf_dir), entry.oracle_sql()[name]) is None
-
-
 def moments(gold):
     low, high = gold.agg(F.min("t_us"), F.max("t_us")).first()
     one = gold.where("line_id = 3").orderBy("t_us").limit(40).collect()[-1].t_us
