@@ -1,11 +1,10 @@
-"""Hard negatives against a plain search over all rows."""
+"""Hard negatives against a plain search over all rows; its SQL is in ``test_operators``."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import negatives, queries
-from tests.check import compare, connect
+from millrace.llm import negatives
 
 
 def plain(rows, every=100, best=5):
@@ -27,12 +26,6 @@ def got(df):
     return sorted((r.anchor_id, r.positive_id, r["rank"], r.negative_id, r.positive_score, r.negative_score) for r in df.collect())
 
 
-def test_sql(spark, sf_dir):
-    df = queries.op13_hard_negatives(spark, sf_dir)
-    assert compare(df, connect(sf_dir), queries.oracle_sql()["op13_hard_negatives"]) is None
-    assert df.count() > 0
-
-
 @pytest.mark.parametrize("seed", [1, 2])
 def test_clusters_copies_and_small_tiles(spark, monkeypatch, seed):
     for name, value in dict(PROBE=60, TILE_ROWS=64, BLOCK_REQUESTS=8, CELL_ROWS=8).items():
