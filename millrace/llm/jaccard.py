@@ -20,13 +20,11 @@ from pyspark.sql.window import Window
 
 from millrace.llm import words
 from millrace.llm.graph import components
-from millrace.llm.tables import bounded, stored
+from millrace.llm.tables import stored
 
 #: Least hash values kept for each set, and the probability at most with which a pair
 #: just at the threshold shares too few of them for its sets to be indexed; see ``suspects``.
 MINIMA, MISS = 32, 1e-11
-#: Keys of indexed sets that may be broadcast; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 #: Stands for a set of which no segment is passed over.
 EVERY = -(1 << 40)
 #: Shingles of the sets that one task checks against those of another such block.
@@ -35,7 +33,7 @@ BLOCK_BYTES = 4 << 20
 FACTORS = (1.0, 1.15, 1.3, 1.6, 2.2, 4.0, 16.0)
 
 
-def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
+def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75, miss: float = MISS) -> DataFrame:
     """``key, n_shingles, component_id`` for every row.
 
     A set holds a text's distinct shingles of ``width`` words, A-Z as a-z; a shorter
@@ -46,8 +44,12 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     are one document with several texts, whose links are joined. Other columns are
     ignored, whatever their names. ``percent`` is a whole number from 51 to 100: at less
     a pair may differ in as many shingles as the smaller set has, and need not agree in
-    any segment. At a low one ``allocation`` may find no right number of segments; it
-    raises then, as no pair may be lost.
+    any segment. ``miss`` is the probability with which a pair just at the threshold may
+    be passed over before the index is made (see ``suspects``); at 0 every set is
+    indexed and the result is exact whatever the hashes of the least values are.
+
+    Tables of keys are stored before they are joined. Spark then knows their bytes and
+    broadcasts only those below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     if percent != int(percent) or not 50 < percent <= 100:
         raise ValueError(f"percent must be a whole number from 51 to 100, not {percent}")
@@ -59,10 +61,8 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     tied = keyed.join(first, ["n", "f1", "f2"])
     same = tied.where("id > first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     own = tied.where("id = first").select("id", "minima")
-    some = stored(suspects(own, percent))
-    sets = stored(
-        base.join(bounded(some, BROADCAST_ROWS), "id").mapInArrow(_sets(width), "id long, n long, shingles binary")
-    )
+    some = stored(suspects(own, percent, miss))
+    sets = stored(base.join(some, "id").mapInArrow(_sets(width), "id long, n long, shingles binary"))
     links = similar(shared_enough(sets, percent), percent)
     found = components(same.unionByName(links)).withColumnRenamed("node", "id")
     return read.join(found, "id", "left").select(
@@ -72,30 +72,31 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     )
 
 
-def least_shared(percent: int) -> int:
+def least_shared(percent: int, miss: float = MISS) -> int:
     """How many of its least values a set with a partner has in common with others.
 
     The most that a pair of similarity ``percent`` falls short of with a probability of
-    ``MISS`` at most: 6 at 75 percent (3e-12), 0 below 55, where nothing is left out.
+    ``miss`` at most: 6 at 75 percent (3e-12), 0 below 55 or if nothing may be missed,
+    where nothing is left out.
     """
     p = percent / 100
     below, k = 0.0, 0
     while k < MINIMA:
         below += comb(MINIMA, k) * p**k * (1 - p) ** (MINIMA - k)
-        if below > MISS:
+        if below > miss:
             break
         k += 1
     return k
 
 
-def suspects(sets: DataFrame, percent: int) -> DataFrame:
+def suspects(sets: DataFrame, percent: int, miss: float = MISS) -> DataFrame:
     """Keys of sets that can have a partner, from ``id, minima``.
 
     The least values of two sets under one random order agree with a probability equal
     to their similarity, and each agreement is a value that two sets have. So a set of
     which fewer than ``least_shared`` values occur elsewhere has no partner.
     """
-    least = least_shared(percent)
+    least = least_shared(percent, miss)
     if not least:
         return sets.select("id").distinct()
     each = sets.select("id", F.explode("minima").alias("v"))
@@ -111,7 +112,7 @@ def shared_enough(sets: DataFrame, percent: int) -> DataFrame:
     # A key with several texts has several sets, which the count doesn't tell apart.
     several = sets.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
     alone = stored(alone.groupBy("id").agg(F.count("*").alias("u")).join(several, "id", "left_anti"))
-    counted = sets.join(bounded(alone, BROADCAST_ROWS), "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    counted = sets.join(alone, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
     return stored(counted.where(f"(n - u) * 100 >= n * {int(percent)}"))
 
 
@@ -125,28 +126,32 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
     not connected. A set must be met in a fixed number of segments, so the ones that
     most other sets share are passed over.
     """
-    plan = allocation(sets, percent)
+    plan, lacking = allocation(sets, percent)
+    blocks = _blocks(sets)
     least = f"n * {100 - int(percent)} div {int(percent)} + 1"
     index = sets.mapInArrow(_signatures(plan, percent), "sig long, id long, n long, own boolean, spare long")
     often = index.groupBy("sig").agg(F.count("*").alias("many"), F.min("id").alias("c"), F.min_by("n", "id").alias("cn"))
     index = stored(index.join(often.where("many > 1"), "sig"))
     # First turn: the smallest key stands for a segment.
-    links = stored(verified(_likely(index.where("id != c"), percent), sets, percent))
+    links = stored(verified(_likely(index.where("id != c"), percent), sets, percent, blocks))
+    if lacking:
+        links = stored(links.unionByName(overlapping(sets.mapInArrow(_lacking(plan, percent), "id long, n long, shingles binary"), sets, percent)))
     parts = components(links)
     placed = _placed(_placed(index, parts, "id", "component"), parts, "c", "other")
     mixed = stored(placed.where("component != other").select("sig").distinct())
-    placed = stored(placed.join(bounded(mixed, BROADCAST_ROWS), "sig").drop("c", "cn", "other"))
+    placed = stored(placed.join(mixed, "sig").drop("c", "cn", "other"))
     # Second turn: of the sets in a segment the one with the fewest segments of its own.
     single = index.where("own").groupBy("id").agg((F.max(F.expr(f"spare + {least}")) - F.count("*")).alias("alone"))
-    placed_by = placed.join(bounded(stored(single), BROADCAST_ROWS), "id", "left")
+    placed_by = placed.join(stored(single), "id", "left")
     order = F.coalesce("alone", F.col("n"))
     centre = placed_by.groupBy("sig").agg(*[F.min_by(c, order).alias(t) for c, t in (("id", "c"), ("n", "cn"), ("component", "other"))])
     again = placed.join(centre, "sig").where("component != other")
-    links = links.unionByName(stored(verified(_likely(again, percent), sets, percent)))
-    placed = _placed(placed.drop("component"), components(links), "id", "component")
+    links = links.unionByName(stored(verified(_likely(again, percent), sets, percent, blocks)))
+    parts = components(links)
+    placed = _placed(placed.drop("component"), parts, "id", "component")
     mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     placed = placed.join(mixed.select("sig"), "sig")
-    placed = placed.join(bounded(sets.select("id", "u"), BROADCAST_ROWS), "id")
+    placed = placed.join(stored(sets.select("id", "u")), "id")
     by_set = Window.partitionBy("id", "own")
     placed = stored(
         placed.withColumn("rank", F.row_number().over(by_set.orderBy("many", "sig")))
@@ -173,18 +178,17 @@ def similar(sets: DataFrame, percent: int) -> DataFrame:
         .select(F.col("a_id").alias("a"), F.col("b").alias("part"))
         .distinct()
     )
-    members = _placed(sets.select("id"), components(links), "id", "part")
-    return links.unionByName(reached(stored(asked), members, sets, percent))
+    members = _placed(sets.select("id"), parts, "id", "part")
+    return links.unionByName(reached(stored(asked), members, sets, percent, blocks))
 
 
-def reached(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def reached(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int, blocks: int) -> DataFrame:
     """A pair ``a, b`` for every set ``a`` and component ``part`` of ``asked`` that a
     link connects; ``members`` says which sets (``id``) a component has.
 
     Sets are dealt into blocks of bounded size. A tile holds the sets of one block that
     ask and those of another that are asked; each is sent there once.
     """
-    blocks = _blocks(sets)
     block = lambda c: F.pmod(F.xxhash64(F.lit(41), c), F.lit(blocks))
     asked = asked.withColumn("x", block("a"))
     members = members.join(asked.select("part").distinct(), "part").withColumn("y", block("id"))
@@ -209,17 +213,16 @@ def _likely(rows: DataFrame, percent: int) -> DataFrame:
 def _placed(rows: DataFrame, parts: DataFrame, key: str, name: str) -> DataFrame:
     """``rows`` with the component of the set in ``key``, itself if it is alone."""
     known = parts.select(F.col("node").alias(key), F.col("component").alias(name))
-    return rows.join(bounded(known, BROADCAST_ROWS), key, "left").withColumn(name, F.coalesce(name, key))
+    return rows.join(known, key, "left").withColumn(name, F.coalesce(name, key))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> DataFrame:
     """Of the pairs ``a, b`` with at least ``percent`` of their union shared, enough to
     connect all that they connect.
 
     Sets are dealt into blocks of bounded size, pairs into tiles of two blocks. A set is
     sent once to each tile in which it has a pair, not once for each pair.
     """
-    blocks = _blocks(sets)
     block = lambda c: F.pmod(F.xxhash64(F.lit(41), c), F.lit(blocks))
     pairs = pairs.select("a", "b", block("a").alias("x"), block("b").alias("y"))
     end = lambda c: pairs.select(F.col("x").alias("hx"), F.col("y").alias("hy"), F.col(c).alias("id")).distinct()
@@ -228,38 +231,45 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("x", "y").cogroup(held.groupBy("hx", "hy")).applyInArrow(_check(percent), "a long, b long")
 
 
-def allocation(sets: DataFrame, percent: int) -> dict[int, tuple[int, bool]]:
+def overlapping(few: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``a, b`` of a set of ``few`` and a similar one of ``sets``, by counting
+    shared shingles: the exact way for the sets that have too few segments in use.
+
+    Of ``sets`` only the shingles go on that some set of ``few`` has.
+    """
+    few = stored(few.withColumn("row", F.monotonically_increasing_id()))
+    each = few.select("shingles", F.col("row").alias("id")).mapInArrow(_each, "h long, id long").withColumnRenamed("id", "row")
+    # Rows, not keys: those that repeat a key are sets of their own.
+    numbered = stored(sets.select("id", "n", "shingles").withColumn("other", F.monotonically_increasing_id()))
+    rest = numbered.select("shingles", F.col("other").alias("id")).mapInArrow(_each, "h long, id long").withColumnRenamed("id", "other")
+    both = rest.join(stored(each), "h").groupBy("row", "other").agg(F.count("*").alias("both"))
+    found = both.join(few.select("row", F.col("id").alias("a"), F.col("n").alias("an")), "row")
+    found = found.join(numbered.select("other", F.col("id").alias("b"), F.col("n").alias("bn")), "other")
+    return found.where(f"a != b and both * 100 >= (an + bn - both) * {int(percent)}").select("a", "b")
+
+
+def allocation(sets: DataFrame, percent: int) -> tuple[dict[int, tuple[int, bool]], bool]:
     """For each band of sizes the number of segments, and whether contents with one
-    shingle left out are indexed too.
+    shingle left out are indexed too; and whether sets lack segments by that.
 
-    Measured over all sets: a choice is right if every set of the band has enough
-    segments that are not empty; the cheapest right one is taken. A band with sets but
-    without a right choice raises. The driver gets a few numbers for each band, of which there are at most 64.
+    Measured over all sets: a set lacks segments if too few of them are not empty for
+    one to agree with every partner. Of the choices by which the fewest sets do, nearly
+    always none, the cheapest is taken; those sets go another way (``overlapping``). The
+    driver gets a few numbers for each band, of which there are at most 64.
     """
     measured = sets.select("shingles").mapInArrow(
         _measure(percent), "band int, choice int, short long, short_deleted long, plain long, deleted long"
     )
-    rows = (
-        measured.groupBy("band", "choice")
-        .agg(F.max("short").alias("short"), F.max("short_deleted").alias("short_deleted"), F.sum("plain").alias("plain"), F.sum("deleted").alias("deleted"))
-        .collect()
-    )
-    best: dict[int, tuple[int, int, bool]] = {}
-    for row in rows:
+    sums = [F.sum(c).alias(c) for c in ("short", "short_deleted", "plain", "deleted")]
+    best: dict[int, tuple[int, int, int, bool]] = {}
+    for row in measured.groupBy("band", "choice").agg(*sums).collect():
         m = segments(row["band"], FACTORS[row["choice"]], percent)
-        options = []
-        if row["short"] <= 0:
-            options.append((row["plain"], m, False))
-        if row["short_deleted"] <= 0:
-            options.append((row["plain"] + row["deleted"], m, True))
-        for option in options:
-            best[row["band"]] = min(best.get(row["band"], option), option)
-    lacking = sorted({row["band"] for row in rows} - set(best))
-    if lacking:
-        sizes = ", ".join(f"{1 << band} to {(2 << band) - 1}" for band in lacking)
-        raise ValueError(f"no number of segments finds all pairs at {percent} percent among sets of {sizes} shingles")
+        plain = (row["short"], row["plain"], m, False)
+        deleted = (row["short_deleted"], row["plain"] + row["deleted"], m, True)
+        best[row["band"]] = min(best.get(row["band"], plain), plain, deleted)
     # A band without sets of its own can still be visited by larger ones; nothing is there to meet.
-    return {band: (m, deletions) for band, (_, m, deletions) in best.items()}
+    plan = {band: (m, deletions) for band, (_, _, m, deletions) in best.items()}
+    return plan, any(short for short, *_ in best.values())
 
 
 def segments(band: int, factor: float, percent: int) -> int:
@@ -335,6 +345,12 @@ def _needed(n: int, percent: int) -> int:
     return n * (100 - percent) // percent + 1
 
 
+def _in_use(shingles: np.ndarray, m: int) -> tuple[int, int, int]:
+    """Of ``m`` segments those in use, those with several shingles, and these shingles."""
+    sizes = np.bincount((words.mix(shingles, 21) % np.uint64(m)).astype(np.int64))
+    return int((sizes > 0).sum()), int((sizes > 1).sum()), int(sizes[sizes > 1].sum())
+
+
 def _measure(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[int, int], list[int]] = {}
@@ -346,13 +362,12 @@ def _measure(percent: int):
                     continue
                 band, need = n.bit_length() - 1, _needed(n, percent)
                 for choice, factor in enumerate(FACTORS):
-                    m = segments(band, factor, percent)
-                    sizes = np.bincount((words.mix(shingles, 21) % np.uint64(m)).astype(np.int64))
-                    full, several = int((sizes > 0).sum()), int((sizes > 1).sum())
-                    row = total.setdefault((band, choice), [need - full, need - full - several, 0, 0])
-                    row[0], row[1] = max(row[0], need - full), max(row[1], need - full - several)
+                    full, several, deleted = _in_use(shingles, segments(band, factor, percent))
+                    row = total.setdefault((band, choice), [0, 0, 0, 0])
+                    row[0] += need > full
+                    row[1] += need > full + several
                     row[2] += full
-                    row[3] += int(sizes[sizes > 1].sum())
+                    row[3] += deleted
         if total:
             columns = [list(k) + v for k, v in total.items()]
             names = ["band", "choice", "short", "short_deleted", "plain", "deleted"]
@@ -362,6 +377,23 @@ def _measure(percent: int):
     return run
 
 
+def _lacking(plan: dict[int, tuple[int, bool]], percent: int):
+    """The sets of which too few segments are in use by ``plan``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lacks = []
+            for blob in batch.column("shingles"):
+                shingles = _array(blob)
+                n = len(shingles)
+                m, deletions = plan[n.bit_length() - 1] if n else (1, False)
+                full, several, _ = _in_use(shingles, m)
+                lacks.append(n > 0 and _needed(n, percent) > full + several * deletions)
+            yield batch.select(["id", "n", "shingles"]).filter(pa.array(lacks, pa.bool_()))
+
+    return run
+
+
 def _signatures(plan: dict[int, tuple[int, bool]], percent: int):
     def one(shingles: np.ndarray, band: int) -> tuple[np.ndarray, int]:
         m, deletions = plan[band]

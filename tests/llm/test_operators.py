@@ -97,7 +97,7 @@ def test_jaccard_is_brute_force(spark, seed):
 
 
 def test_jaccard_at_other_thresholds(spark, monkeypatch):
-    """The filter follows the threshold; where pairs could be lost it raises."""
+    """The filter follows the threshold; sets with too few segments go another way."""
     def miss(p, k):
         return sum(math.comb(jaccard.MINIMA, i) * p**i * (1 - p) ** (jaccard.MINIMA - i) for i in range(k))
 
@@ -118,10 +118,33 @@ def test_jaccard_at_other_thresholds(spark, monkeypatch):
         with pytest.raises(ValueError, match="51 to 100"):
             jaccard.group(df, percent=percent)
     sets = spark.createDataFrame([(1, np.arange(100, dtype=np.uint64).tobytes())], "id long, shingles binary")
-    assert set(jaccard.allocation(sets, 75)) == {6}
+    plan, lacking = jaccard.allocation(sets, 75)
+    assert set(plan) == {6} and not lacking
     monkeypatch.setattr(jaccard, "FACTORS", (0.3,))
-    with pytest.raises(ValueError, match="64 to 127 shingles"):
-        jaccard.allocation(sets, 75)
+    assert jaccard.allocation(sets, 75)[1]
+
+
+def test_jaccard_exact_ways(spark, monkeypatch):
+    """Nothing left out before the index, or every set short of segments: the same groups."""
+    r = random.Random(8)
+    docs = []
+    for k in range(60):
+        tokens = [f"w{k}x{i}" for i in range(r.choice([5, 6, 9, 11, 30, 70]))]
+        docs.append((3 * k, " ".join(tokens)))
+        docs.append((3 * k + 1, " ".join([*tokens, f"end{k}"])))
+        docs.append((3 * k + 2, " ".join(["start", *tokens[1:]])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    groups = lambda **options: {r.doc_id: r.component_id for r in jaccard.group(df, **options).collect()}
+    shingles = {k: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for k, t in docs}
+    want = {k: k for k, _ in docs}
+    for k in range(0, 180, 3):
+        for a, b in ((k, k + 1), (k, k + 2), (k + 1, k + 2), (k, k + 1), (k, k + 2)):
+            if 100 * len(shingles[a] & shingles[b]) >= 75 * len(shingles[a] | shingles[b]):
+                want[a] = want[b] = min(want[a], want[b])
+    assert jaccard.least_shared(75, 0) == 0
+    assert groups() == groups(miss=0) == want
+    monkeypatch.setattr(jaccard, "FACTORS", (0.3,))
+    assert groups() == want
 
 
 def test_segments_find_every_similar_pair(spark, monkeypatch):
