@@ -5,6 +5,7 @@ from pyspark.sql import Window, functions as F
 
 from millrace import constants as K
 from millrace.operators import kpi, ordered as O
+from millrace.operators import shards
 from millrace.operators.shards import SHARD, Series, shard
 
 STATUS = st.sampled_from([0.0, 1.0, None])
@@ -156,3 +157,18 @@ def test_sharded_chain_reads_its_source_once(spark, sf_dir):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") <= 2, name
         assert plan.count("Exchange hashpartitioning") <= (4 if name == "running" else 1), name
+
+
+def test_shards_of_wide_rows_hold_fewer_rows(spark, monkeypatch):
+    """A task sorts whole shards: their bytes count, not their rows alone."""
+    monkeypatch.setattr(shards, "ROWS_PER_SHARD", 4_000)
+    monkeypatch.setattr(shards, "SHARD_BYTES", 100_000)
+    keys = spark.range(4_000).selectExpr("id % 2 AS line_id", "id AS event_id", "id * 7 AS t_us")
+    assert shard(keys).single
+    wide = keys.selectExpr("*", *[f"event_id * 1D AS x{k}" for k in range(97)])
+    cut = shard(wide)
+    most = cut.df.groupBy("line_id", SHARD).count().agg(F.max("count")).first()[0]
+    assert not cut.single and most * 800 <= 2 * 100_000
+    assert cut.df.count() == 4_000
+    whole = O.add_running(shard(keys), {"total": F.col("t_us")})
+    assert table(O.add_running(cut, {"total": F.col("t_us")}).df, "total") == table(whole.df, "total")
