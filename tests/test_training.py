@@ -62,3 +62,23 @@ def test_split_keeps_rows_without_a_key(spark):
     for label in range(3):
         own = [r.is_test for r in got if r.defect_label == label]
         assert sum(own) == round(0.2 * len(own))
+
+
+def test_split_ranks_keys_and_reads_wide_rows_once(spark, tmp_path):
+    rows = [(k, k % 3, float(k)) for k in range(900)]
+    spark.createDataFrame(rows, "event_id long, defect_label int, x double").repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    split = evaluate.stratified_split(df)
+    got = {r.event_id: r.is_test for r in split.collect()}
+    order = lambda k: ((k % evaluate.PRIME * evaluate.FACTOR + K.SPLIT_SEED) % evaluate.PRIME, k)
+    for label in range(3):
+        first = sorted(range(label, 900, 3), key=order)[:60]
+        assert sorted(k for k in range(label, 900, 3) if got[k]) == sorted(first)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan parquet [event_id") == 1 and "Window" not in plan
+    # Repeated keys: the cut falls among rows of one key, which are then told apart.
+    again = df.unionByName(df).unionByName(df).where("event_id < 30")
+    got = evaluate.stratified_split(again, test_share=0.5).collect()
+    for label in range(3):
+        own = [r.is_test for r in got if r.defect_label == label]
+        assert len(own) == 30 and sum(own) == 15
