@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from millrace.llm import words
 from millrace.llm.graph import components
-from millrace.llm.tables import stored
+from millrace.llm.tables import arrow_rows, stored
 
 #: Least hash values kept for each set, and the probability at most with which a pair
 #: just at the threshold shares too few of them for its sets to be indexed; see ``suspects``.
@@ -29,6 +29,8 @@ MINIMA, MISS = 32, 1e-11
 EVERY = -(1 << 40)
 #: Shingles of the sets that one task checks against those of another such block.
 BLOCK_BYTES = 4 << 20
+#: Texts or sets that a task hands to Python at a time, and bytes of text hashed at once.
+BATCH_ROWS, PIECE_BYTES = 1_000, 500_000
 #: Segments of a band, as multiples of the fewest that can do.
 FACTORS = (1.0, 1.15, 1.3, 1.6, 2.2, 4.0, 16.0)
 
@@ -51,6 +53,12 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     Tables of keys are stored before they are joined. Spark then knows their bytes and
     broadcasts only those below ``spark.sql.autoBroadcastJoinThreshold``.
     """
+    # All that runs in Python is stored here; the result reads these tables.
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _grouped(docs, key, text, width, percent, miss)
+
+
+def _grouped(docs: DataFrame, key: str, text: str, width: int, percent: int, miss: float) -> DataFrame:
     if percent != int(percent) or not 50 < percent <= 100:
         raise ValueError(f"percent must be a whole number from 51 to 100, not {percent}")
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -281,7 +289,7 @@ def segments(band: int, factor: float, percent: int) -> int:
 def _profile(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in words.pieces(batch, "text"):
+            for piece in words.pieces(batch, "text", PIECE_BYTES):
                 flat, offsets = words.shingle_sets(piece.column("text"), width)
                 sizes = np.diff(offsets)
                 prints = []
@@ -306,7 +314,7 @@ def _profile(width: int):
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in words.pieces(batch, "text"):
+            for piece in words.pieces(batch, "text", PIECE_BYTES):
                 flat, offsets = words.shingle_sets(piece.column("text"), width)
                 blobs = [flat[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.session import scratch
 
@@ -25,3 +28,20 @@ def bounded(df: DataFrame, rows: int, counted: DataFrame | None = None) -> DataF
     Beyond that it is left as it is, to be joined by shuffle; the result is the same.
     """
     return F.broadcast(df) if (counted or df).limit(rows + 1).count() <= rows else df
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Stages that run meanwhile send Python at most ``rows`` rows at a time.
+
+    For wide rows: a batch is held several times over, by the executor and by its Python
+    workers, which keep the memory when they are done.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -407,3 +407,13 @@ def test_words_of_blocks_and_pieces(monkeypatch):
     monkeypatch.setattr(words, "_TABLES", {})
     again, _ = words.word_hashes(texts)
     assert again[0] == again[4] and len(again) == 7
+
+
+def test_jaccard_hands_few_rows_to_python_at_a_time(spark, monkeypatch):
+    """Batches of 10,000 texts or sets took an executor of 3,000 MB over its memory."""
+    name, seen, store = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard.stored
+    before = spark.conf.get(name)
+    monkeypatch.setattr(jaccard, "stored", lambda df: seen.append(int(spark.conf.get(name))) or store(df))
+    df = spark.createDataFrame([(k, f"a b c d e f {k // 2} g h") for k in range(20)], "doc_id long, text string")
+    assert {r.component_id for r in jaccard.group(df).collect()} == set(range(0, 20, 2))
+    assert seen and max(seen) <= jaccard.BATCH_ROWS and spark.conf.get(name) == before
