@@ -107,3 +107,25 @@ def test_odd_tables(spark, data):
 
 def test_defaults():
     assert (Settings().rounds, Settings().depth, Settings().rate) == (K.TREES, K.TREE_DEPTH, K.LEARNING_RATE)
+
+
+def test_adds_up_one_child_of_two(spark, data, monkeypatch):
+    """The other child is what that leaves of the parent, to the last digit, and the
+    trees don't depend on how the rows are dealt."""
+    s, asked, reduced = Settings(rounds=2, depth=4), [], boosting._reduced
+
+    def spied(blocks, since, trees, opened, *rest):
+        asked.append(list(opened))
+        return reduced(blocks, since, trees, opened, *rest)
+
+    monkeypatch.setattr(boosting, "_reduced", spied)
+    df = frame(spark, data)
+    model = boosting.fit(df, K.LABEL, ["a", "b", "c"], s)
+    for nodes in asked:
+        parents = [(c, (at - 1) // 2) for c, at in nodes]
+        assert len(parents) == len(set(parents)) or all(at == 0 for _, at in nodes)
+    assert len(max(asked, key=len)) > 4
+    again = boosting.fit(df.repartition(2), K.LABEL, ["a", "b", "c"], s)
+    assert model.edges == again.edges
+    for mine, other in zip(sum(model.rounds, []), sum(again.rounds, [])):
+        assert mine.value.tolist() == other.value.tolist() and mine.cut.tolist() == other.cut.tolist()
