@@ -32,7 +32,7 @@ _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t\n\v\f\r \u0085   -
 _END = "</w>"
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable letter by which byte-level vocabularies write each byte."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     other = [b for b in range(256) if b not in set(plain)]
@@ -80,7 +80,7 @@ class Encoder:
         self.size = size
         self.digits = [str(t) for t in range(size)]
         self.longest = max(len(t.removesuffix(_END)) for t in self.vocabulary)
-        self.spread = {b: c for b, c in _byte_letters().items()}
+        self.spread = {b: c for b, c in byte_letters().items()}
         self.splitter = regex.compile(_PIECE)
         self.spaces = regex.compile(_SPACE + "+")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None

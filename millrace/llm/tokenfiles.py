@@ -20,6 +20,7 @@ from __future__ import annotations
 import gc
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm import patched, words
+from millrace.llm.bpe import byte_letters
 from millrace.llm.tables import bounded, stored
 
 #: Ids after which a file is closed.
@@ -50,6 +52,56 @@ _MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 # str.split() splits at these too, the library doesn't.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+# The letters in which byte-level vocabularies write bytes above ASCII.
+_SPREAD = {b: c for b, c in byte_letters().items() if b > 127}
+
+
+class Known(dict):
+    """Ids of strings seen before, by string.
+
+    A string of letters and marks behind them is learned when it is first looked up: its
+    letters count in lower case and without the marks. Any other string gives None and
+    is noted in ``lacking``, to go through the whole library.
+    """
+
+    def __init__(self, older: dict[str, bytes], library):
+        self.older, self.library, self.tokenize = older, library, library.model.tokenize
+        # A word has no more ids than bytes, two a letter.
+        self.pack = [struct.Struct(f"<{n}I").pack for n in range(2 * LONGEST_REMEMBERED + 1)]
+        self.lacking: list[str] = []
+
+    def __missing__(self, w: str) -> bytes | None:
+        older = self.older.get
+        if (ids := older(w)) is None:
+            core = w.rstrip(_MARKS)
+            mark = w[len(core) :]
+            # Of these letters all Unicode versions in use know the same.
+            if len(w) > LONGEST_REMEMBERED or not core.isalpha() or max(core) >= "\u0530" or "\u0130" in core:
+                self.lacking.append(w)
+                return None
+            if not core.isascii():
+                core = unicodedata.normalize("NFC", core).replace("Σ", "σ")
+            core = core.lower()
+            if (ids := self.get(core) or older(core)) is None:
+                ids = self._tokenized(core)
+            self[core] = ids
+            if mark:
+                if (last := self.get(mark)) is None:
+                    self[mark] = last = self.whole([mark])[0]
+                ids += last
+        self[w] = ids
+        return ids
+
+    def _tokenized(self, core: str) -> bytes:
+        """Ids of a word, which the model wants in byte letters; ASCII letters are that already."""
+        spread = core if core.isascii() else core.encode().decode("latin-1").translate(_SPREAD)
+        found = [x.id for x in self.tokenize(spread)]
+        return self.pack[len(found)](*found)
+
+    def whole(self, strings: list[str]) -> list[bytes]:
+        """Ids of any strings."""
+        found = self.library.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
 
 class WordEncoder:
@@ -62,86 +114,38 @@ class WordEncoder:
     """
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.space = self.letters.pre_tokenize_str(" ")[0][0]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Known({}, self.library)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [(_SPACE.sub(" ", t).strip(" ").split(" ") if t else []) if _CONTROLS.search(t) else t.split() for t in texts]
         if len(self.known) > REMEMBERED // 2:  # what is used again comes back from the older half
-            self.known, self.older = {}, self.known
-        found = [list(map(self.known.get, s)) for s in split]
-        lacking = [k for k, f in enumerate(found) if None in f]
-        new = {w for k in lacking for w, f in zip(split[k], found[k]) if f is None}
-        kept = {w: ids for w in new if (ids := self.older.get(w)) is not None}
-        self.known |= kept
-        self.learn(new.difference(kept))
-        for k in lacking:
-            found[k] = [self.known[w] if f is None else f for w, f in zip(split[k], found[k])]
-        for w in [w for w in new if len(w) > LONGEST_REMEMBERED]:
-            del self.known[w]
-        return [b"".join(f) for f in found]
-
-    def learn(self, new: set[str]) -> None:
-        """Words of letters count in lower case and without the marks behind them."""
-        known, rest, lower, cores = self.known, [], {}, set()
-        for w in new:
-            if not w.isascii():
-                core = w.rstrip(_MARKS)
-                # Of these letters all Unicode versions in use know the same.
-                if core.isalpha() and max(core) < "\u0530" and "\u0130" not in core:
-                    lower[w] = w
-                    cores.add(core)
-                else:
-                    rest.append(w)
-            elif (core := (low := w.lower()).rstrip(_MARKS)).isalpha():
-                lower[w] = low
-                cores.add(core)
-            else:
-                rest.append(w)
-        older = self.older.get
-        cores = [c for c in cores if c not in known]
-        again = {c: ids for c in cores if (ids := older(c))}
-        known |= again
-        cores = [c for c in cores if c not in again] if again else cores
-        plain, other = [c for c in cores if c.isascii()], [c for c in cores if not c.isascii()]
-        known |= zip(plain, self._tokenized(plain))
-        known |= zip(other, self._words(other))
-        marked = []
-        for w, low in lower.items():
-            if (ids := known.get(low)) is None:
-                marked.append((w, core := low.rstrip(_MARKS), low[len(core) :]))
+            self.known.older = {}
+            self.known = Known(self.known, self.library)
+        known, lacking = self.known, self.known.lacking
+        look, out, open_, noted = known.__getitem__, [], [], 0
+        for t in texts:
+            split = (_SPACE.sub(" ", t).strip(" ").split(" ") if t else []) if _CONTROLS.search(t) else t.split()
+            found = list(map(look, split))
+            if len(lacking) > noted:
+                noted = len(lacking)
+                open_.append((len(out), split, found))
+                out.append(b"")
             else:
-                known[w] = ids
-        marks = list({mark for _, _, mark in marked if mark not in known})
-        known |= zip(marks, self._each(marks))
-        known |= ((w, known[core] + known[mark]) for w, core, mark in marked)
-        known |= zip(rest, self._each(rest))
-
-    def _each(self, strings: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(strings, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _words(self, cores: list[str]) -> list[bytes]:
-        if not cores:
-            return []
-        spread = self.letters.pre_tokenize_str(self.library.normalizer.normalize_str(" ".join(cores)))[0][0].split(self.space)
-        if len(spread) != len(cores):
-            return self._each(cores)
-        return self._tokenized(spread)
-
-    def _tokenized(self, spread: list[str]) -> list[bytes]:
-        """Ids of words written in byte letters, which ASCII letters are already."""
-        pack = {n: struct.Struct(f"<{n}I").pack for n in range(1, 9)}
-        found = [[x.id for x in t] for t in map(self.library.model.tokenize, spread)]
-        return [pack[len(f)](*f) if len(f) < 9 else struct.pack(f"<{len(f)}I", *f) for f in found]
+                out.append(b"".join(found))
+        new = list(set(lacking))
+        lacking.clear()
+        known |= zip(new, known.whole(new))
+        for k, split, found in open_:
+            out[k] = b"".join([known[w] if f is None else f for w, f in zip(split, found)])
+        for w in new:
+            if len(w) > LONGEST_REMEMBERED:
+                del known[w]
+        return out
 
 
 class Writer:

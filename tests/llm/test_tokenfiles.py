@@ -54,6 +54,31 @@ def test_strings_like_the_library(library):
         assert encoder.ids(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_only_strings_of_other_characters_go_through_the_whole_library(library):
+    r = random.Random(6)
+    stems = ["".join(r.choice("abcdeéèüßñςΣЁї") for _ in range(r.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(r.choice(stems + [s.upper() for s in stems]) + r.choice(["", ".", "!?"]) for _ in range(200)) for _ in range(20)]
+    texts += ["x" * 49 + " Ü" + "ü" * 60, "ʹ Aʹb, ʹ", "word 76.244.80.188"]
+    encoder = tokenfiles.WordEncoder(SPEC)
+    whole, sent = tokenfiles.Known.whole, []
+    tokenfiles.Known.whole = lambda self, strings: sent.extend(strings) or whole(self, strings)
+    try:
+        got = encoder.ids(texts)
+    finally:
+        tokenfiles.Known.whole = whole
+    assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert set(sent) == {".", "!?", ",", "x" * 49, "Ü" + "ü" * 60, "76.244.80.188"}
+    assert not any(len(w) > tokenfiles.LONGEST_REMEMBERED for w in encoder.known)
+
+
+def test_strings_come_back_from_the_older_half(library, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "REMEMBERED", 8)
+    encoder = tokenfiles.WordEncoder(SPEC)
+    texts = ["One two, three. Fünf!", "two, Three 1.5", "fünf one ONE! 1.5 x", "two, three fünf"]
+    for t in texts * 2:
+        assert encoder.ids([t]) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
 def test_writer_closes_files_and_index_opens_any_range(monkeypatch):
     monkeypatch.setattr(tokenfiles, "FILE_IDS", 5_000)
     monkeypatch.setattr(tokenfiles, "SEGMENT", 2 * patched.BLOCK)
