@@ -266,7 +266,7 @@ def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value.encoder()
         for batch in batches:
-            for piece in words.pieces(batch, "text"):
+            for piece in words.pieces(batch, "text", words.PIECE_BYTES // 4):
                 split = [encoder.split(t or "") for t in piece.column("text").to_pylist()]
                 encoder.prepare(split)
                 sizes, flat = [0], []

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from millrace.llm import words
 
@@ -264,15 +265,19 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     carry = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    base = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text).cast("string").alias("__text"))
     names = [f"c{k}" for k in range(len(carry))]
-    base = base.toDF(*names, "__text")
+    base = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)], F.col(text).cast("string").alias("__text"))
     schema = base.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    read = "__text"
+    if carry.count(text) == 1 and docs.schema[text].dataType == StringType():
+        # Whole texts are wide, so Python gets them once.
+        read = names[carry.index(text)]
+        base = base.drop("__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in words.pieces(batch, "__text", words.PIECE_BYTES // 2):
-                found, share = _label(shared.value, [t or "" for t in piece.column("__text").to_pylist()])
+            for piece in words.pieces(batch, read, words.PIECE_BYTES // 2):
+                found, share = _label(shared.value, [t or "" for t in piece.column(read).to_pylist()])
                 columns = [piece.column(c) for c in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), pa.array(share)], [*names, "lang_pred", "score"])
 

@@ -15,6 +15,25 @@ def sql_over(query, frame, sf_dir):
     return con.execute(query).df()
 
 
+def test_python_gets_few_whole_texts_at_a_time_and_each_once(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, stored = spark.conf.get(name), corpus_pipeline.stored
+
+    def noted(df):
+        seen.append((spark.conf.get(name), df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df)
+
+    monkeypatch.setattr(corpus_pipeline, "stored", noted)
+    texts = ["the house is old and the road is long", "das Haus ist alt und der Weg ist lang", "", None]
+    docs = spark.createDataFrame([(k, texts[k % 4], ("en", "de")[k % 2], "s", 1) for k in range(40)], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = corpus_pipeline.known_language(spark, docs, "")
+    out = corpus_pipeline.tokens(spark, kept, "")
+    assert kept.dtypes == docs.dtypes and out.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+    assert sorted(r.doc_id for r in out.collect()) == [k for k in range(40) if k % 4 < 2]
+    assert [int(n) for n, _ in seen] == [1_000, 1_000] and "__text" not in seen[0][1]
+    assert spark.conf.get(name) == before
+
+
 def test_stages(spark, tmp_path):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
