@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from hashlib import sha256
@@ -23,13 +24,23 @@ from millrace.llm import words
 
 #: Words whose tokens a task remembers; the memory is emptied when it is full.
 REMEMBERED = 250_000
+#: Words whose ids and text a task remembers as strings, in two halves.
+REMEMBERED_STRINGS = 600_000
 #: Longer words are encoded each time instead of being remembered.
 LONGEST_REMEMBERED = 64
 
 # Fixed values of the vocabulary's text rules.
-_SPACE = r"[\t\n\v\f\r \u0085   -     　]"
-_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t\n\v\f\r \u0085   -     　\p{L}\p{N}]+"
+_SPACE = r"\t\n\v\f\r \u0085   -     　"
+_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+"
 _END = "</w>"
+# Texts of lower code points are split by ``re``, which is faster but has to be told the classes.
+_LOW = 0x530
+
+
+def _low(kind: str) -> str:
+    """The code points below ``_LOW`` of a Unicode class, as ``re`` wants them."""
+    wanted = regex.compile(kind)
+    return "".join(rf"\u{c:04x}" for c in range(_LOW) if wanted.match(chr(c)))
 
 
 def byte_letters() -> dict[int, str]:
@@ -68,7 +79,8 @@ class Encoder:
         left = np.array([self.vocabulary[a] for a, _ in merges], dtype=np.int64)
         right = np.array([self.vocabulary[b] for _, b in merges], dtype=np.int64)
         made = np.array([self.vocabulary[a + b] for a, b in merges], dtype=np.int64)
-        self.ranks = {(int(a), int(b)): (k, int(c)) for k, (a, b, c) in enumerate(zip(left, right, made))}
+        # Rank of the merge of two tokens, times ``size``, plus the token it makes.
+        self.ranks = {(a, b): k * size + c for k, (a, b, c) in enumerate(zip(left.tolist(), right.tolist(), made.tolist()))}
         # The order in which tokens come about: single bytes first, then by merge.
         self.order = np.full(size, -1, np.int64)
         self.order[made[::-1]] = np.arange(len(made))[::-1]
@@ -80,13 +92,22 @@ class Encoder:
         self.size = size
         self.digits = [str(t) for t in range(size)]
         self.longest = max(len(t.removesuffix(_END)) for t in self.vocabulary)
+        # By first three letters, the length of the longest entry that doesn't end a word.
+        self.reach: dict[str, int] = {}
+        for token in self.vocabulary:
+            if not token.endswith(_END):
+                self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 2))
         self.spread = {b: c for b, c in byte_letters().items()}
-        self.splitter = regex.compile(_PIECE)
-        self.spaces = regex.compile(_SPACE + "+")
+        self.splitter = regex.compile(_PIECE.format(letters=r"\p{L}", numbers=r"\p{N}", spaces=_SPACE))
+        self.low_splitter = re.compile(_PIECE.format(letters=_low(r"\p{L}"), numbers=_low(r"\p{N}"), spaces=_SPACE))
+        self.high = re.compile(f"[^\0-{chr(_LOW - 1)}]")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.known: dict[str, tuple[int, ...]] = {}
         self.known_ids: dict[str, str] = {}
         self.known_text: dict[str, str] = {}
+        self.older_ids: dict[str, str] = {}
+        self.older_text: dict[str, str] = {}
+        self.long: list[str] = []
 
     def split(self, text: str) -> list[str]:
         """The words of a text; marker tokens stand for themselves."""
@@ -99,18 +120,19 @@ class Encoder:
 
     def _plain(self, text: str) -> list[str]:
         if not text.isascii():
-            text = self.spaces.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ")
-        return self.splitter.findall(text.lower())
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        return (self.splitter if self.high.search(text) else self.low_splitter).findall(text)
 
     def greedy(self, word: str) -> list[int]:
         """Longest vocabulary entries from the left."""
         letters = word.encode().decode("latin-1").translate(self.spread)
-        out, at, n, known = [], 0, len(letters), self.vocabulary
+        out, at, n, known, reach = [], 0, len(letters), self.vocabulary, self.reach
         while at < n:
             if n - at <= self.longest and (token := known.get(letters[at:] + _END)) is not None:
                 out.append(token)
                 break
-            stop = min(n - 1, at + self.longest)
+            stop = min(n - 1, at + reach.get(letters[at : at + 3], 2))
             while (token := known.get(letters[at:stop])) is None:
                 stop -= 1
             out.append(token)
@@ -122,11 +144,11 @@ class Encoder:
         letters = word.encode().decode("latin-1").translate(self.spread)
         ids = [self.vocabulary[c] for c in letters[:-1]] + [self.vocabulary[letters[-1] + _END]]
         if len(ids) <= 32:
-            ranks, none = self.ranks, (1 << 60, 0)
+            ranks, none, size = self.ranks, 1 << 60, self.size
             near = [ranks.get(p, none) for p in zip(ids, ids[1:])]
-            while near and (best := min(near)) is not none:
+            while near and (best := min(near)) != none:
                 k = near.index(best)
-                ids[k : k + 2] = [best[1]]
+                ids[k : k + 2] = [best % size]
                 del near[k]
                 if k:
                     near[k - 1] = ranks.get((ids[k - 1], ids[k]), none)
@@ -134,22 +156,20 @@ class Encoder:
                     near[k] = ranks.get((ids[k], ids[k + 1]), none)
             return ids
         following, before = [*range(1, len(ids)), -1], [-1, *range(len(ids) - 1)]
-        heap = [(*self.ranks[p], k, *p) for k, p in enumerate(zip(ids, ids[1:])) if p in self.ranks]
-        heap = [(r, k, a, b, made) for r, made, k, a, b in heap]
+        heap = [(self.ranks[p], k, *p) for k, p in enumerate(zip(ids, ids[1:])) if p in self.ranks]
         heapq.heapify(heap)
         while heap:
-            _, k, a, b, made = heapq.heappop(heap)
+            best, k, a, b = heapq.heappop(heap)
             nxt = following[k]
             if ids[k] != a or nxt < 0 or ids[nxt] != b:
                 continue
-            ids[k], ids[nxt] = made, -1
+            ids[k], ids[nxt] = best % self.size, -1
             following[k] = following[nxt]
             if following[k] >= 0:
                 before[following[k]] = k
             for i, j in ((before[k], k), (k, following[k])):
                 if i >= 0 and j >= 0 and (p := (ids[i], ids[j])) in self.ranks:
-                    rank, new = self.ranks[p]
-                    heapq.heappush(heap, (rank, i, *p, new))
+                    heapq.heappush(heap, (self.ranks[p], i, *p))
         return [t for t in ids if t >= 0]
 
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -190,32 +210,41 @@ class Encoder:
         failing = set(np.unique(word[1:][touch][~fits]).tolist())
         return {w: tuple(self.merged(w)) if k in failing else tuple(g) for k, (w, g) in enumerate(zip(new, guesses))}
 
-    def prepare(self, split: list[list[str]], strings: bool = False) -> None:
-        """Learn the words of some texts, within the memory that ``REMEMBERED`` sets.
+    def prepare(self, split: list[list[str]]) -> None:
+        """Learn the words of some texts, within the memory that ``REMEMBERED`` sets."""
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            stay = set().union(*split).intersection(self.known)
+            self.known = {w: self.known[w] for w in stay}
+        self.known |= self._found(new)
+
+    def prepare_strings(self, split: list[list[str]]) -> None:
+        """Learn the words of some texts, their ids and what these decode to kept as text.
 
-        With ``strings`` the ids and the decoded text of each word are kept as text,
-        else the ids as numbers.
+        Once half of ``REMEMBERED_STRINGS`` are known these become the older half, and what
+        is used again comes back from it.
         """
-        have = self.known_ids if strings else self.known
-        new = set().union(*split).difference(have)
-        if len(have) + len(new) > REMEMBERED:
-            stay = set().union(*split).intersection(have)
-            for name in ("known", "known_ids", "known_text"):
-                old = getattr(self, name)
-                setattr(self, name, {w: old[w] for w in stay} if old else {})
+        if len(self.known_ids) > REMEMBERED_STRINGS // 2:
+            self.older_ids, self.older_text = self.known_ids, self.known_text
+            self.known_ids, self.known_text = {}, {}
+        ids, text, digits, tokens = self.known_ids, self.known_text, self.digits, self.tokens
+        new = set().union(*split).difference(ids)
+        for w in new.intersection(self.older_ids):
+            ids[w], text[w] = self.older_ids[w], self.older_text[w]
+        for w, found in self._found(new.difference(ids)).items():
+            ids[w] = " ".join([digits[t] for t in found])
+            text[w] = " ".join([tokens[t] for t in found])
+            if len(w) > LONGEST_REMEMBERED:
+                self.long.append(w)
+
+    def _found(self, new: set[str]) -> dict[str, tuple[int, ...]]:
         found = self.learn([w for w in new if w not in self.special])
-        found |= {w: (self.special[w],) for w in new if w in self.special}
-        if not strings:
-            self.known |= found
-            return
-        digits, tokens = self.digits, self.tokens
-        for w, ids in found.items():
-            self.known_ids[w] = " ".join([digits[t] for t in ids])
-            self.known_text[w] = " ".join([tokens[t] for t in ids])
+        return found | {w: (self.special[w],) for w in new if w in self.special}
 
     def forget_long(self) -> None:
-        for w in [w for w in self.known_ids if len(w) > LONGEST_REMEMBERED]:
+        for w in self.long:
             del self.known_ids[w], self.known_text[w]
+        self.long = []
         for w in [w for w in self.known if len(w) > LONGEST_REMEMBERED]:
             del self.known[w]
 
@@ -324,7 +353,7 @@ def round_trip(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "tex
         for batch in batches:
             for piece in words.pieces(batch, "text"):
                 split = [encoder.split(t or "") for t in piece.column("text").to_pylist()]
-                encoder.prepare(split, strings=True)
+                encoder.prepare_strings(split)
                 counts, ids, texts = [], [], []
                 for text_words in split:
                     joined = " ".join(map(encoder.known_ids.__getitem__, text_words))

@@ -247,6 +247,27 @@ def test_compatible_pairs_are_merges():
     assert short == Tokenizer.from_file(PATH).encode(long, add_special_tokens=False).ids
 
 
+def test_used_strings_come_back_from_the_older_half(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_STRINGS", 8)
+    encoder, learned = bpe.Encoder(bpe.vocabulary(PATH)), []
+    monkeypatch.setattr(encoder, "learn", lambda new, learn=encoder.learn: learned.extend(new) or learn(new))
+    for k in range(6):
+        encoder.prepare_strings([["the", "cat", *(f"w{k}{c}" for c in "abcde"), "x" * 99]])
+        assert encoder.known_ids["x" * 99] and encoder.known_text["cat"] == "cat</w>"
+        encoder.forget_long()
+        assert len(encoder.known_ids) + len(encoder.older_ids) <= 8 + 7
+    assert learned.count("the") == learned.count("cat") == 1 and learned.count("x" * 99) == 6
+
+
+def test_both_splitters_give_the_same_words():
+    encoder, r = bpe.Encoder(bpe.vocabulary(PATH)), random.Random(4)
+    low = [chr(c) for c in range(0x530)]
+    for text in ["".join(low), *("".join(r.choices([*low, *" '", *"'std lmrev" * 20], k=300)) for _ in range(300))]:
+        assert encoder.high.search(text) is None
+        assert encoder.low_splitter.findall(text) == encoder.splitter.findall(text)
+    assert encoder.high.search("a\u0530") and encoder.split("a\u20001 中x") == ["a", "1", "中x"]
+
+
 def test_viterbi_is_brute_force():
     r = np.random.default_rng(0)
     for _ in range(40):
