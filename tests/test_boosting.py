@@ -129,3 +129,57 @@ def test_adds_up_one_child_of_two(spark, data, monkeypatch):
     assert model.edges == again.edges
     for mine, other in zip(sum(model.rounds, []), sum(again.rounds, [])):
         assert mine.value.tolist() == other.value.tolist() and mine.cut.tolist() == other.cut.tolist()
+
+
+def test_sums_of_groups_of_features():
+    """Features numbered together give the sums of each feature alone, with many rows (by
+    the group's numbers) and few (by the features' bins)."""
+    r = np.random.default_rng(3)
+    sizes = [64, 2, 40, 64, 2, 5000, 1, 10]
+    layout = boosting.Layout(sizes)
+    assert sorted(sum(layout.groups, [])) == list(range(8)) and len(layout.groups) == 3
+    tree = boosting.Tree.bare(2)
+    tree.feature[:2], tree.cut[:2] = (0, 2), (9, 30)
+    for rows in (200, 20_000):
+        bins = [r.integers(0, n, rows) for n in sizes]
+        block = boosting.Block(layout, layout.numbers(bins, rows), r.integers(0, 2, rows), r.normal(size=(2, rows)))
+        at = np.where(bins[0] > 9, 2, np.where(bins[2] > 30, 4, 3))
+        opened, steps = [(0, 0), (1, 3), (1, 2)], boosting.grid(rows)
+        got = boosting.sums_by_bin(block, [boosting.Tree.bare(2), tree], opened, 5000, steps)
+        share = boosting.softmax(block.scores.T)
+        for k, (c, node) in enumerate(opened):
+            own = np.ones(rows, bool) if node == 0 else at == node
+            p = share[own, c]
+            for v, value in enumerate((p - (block.classes[own] == c), 2 * p * (1 - p))):
+                for f in range(8):
+                    want = np.bincount(bins[f][own], np.rint(value * steps), minlength=5000)
+                    assert got[k, f, :, v].tolist() == want.tolist()
+        scores = boosting._scores(block, [[tree, boosting.Tree.bare(2)]])
+        assert scores.tolist() == (block.scores + np.stack([tree.value[at], np.zeros(rows)])).tolist()
+
+
+def test_ends_of_bins_are_near_their_ranks(spark, monkeypatch):
+    """Over many chunks as well; NaN doesn't count, and few values are cut exactly."""
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 3_000)
+    df = spark.range(40_000, numPartitions=3).selectExpr(
+        "CAST(id * 7919 % 40000 AS double) AS a", "CAST(id % 3 AS double) AS b",
+        "CASE WHEN id % 4 = 0 THEN CAST('NaN' AS double) ELSE 1D END AS c", "CAST('NaN' AS double) AS d",
+    )
+    a, b, c, d = boosting.bin_edges(df, ["a", "b", "c", "d"], 8)
+    assert (b, c, d) == ([0.0, 1.0, 2.0], [1.0], [])
+    for k, end in enumerate(a, 1):
+        assert abs(end + 1 - 40_000 * k / 8) <= 40_000 / 8 * boosting.QUANTILE_ERROR
+    assert boosting.bin_edges(spark.range(16).selectExpr("CAST(id * 7919 % 40000 AS double) AS a"), ["a"], 4) == [sorted(float(k * 7919 % 40000) for k in range(16))[3:15:4]]
+
+
+def test_blocks_are_dealt_evenly(spark):
+    """However the rows lie in the stored files, every task has about as many."""
+    sizes = [900, 10, 10, 10, 500, 400, 10, 450, 460]
+    named = [(f"b{k}", (np.full((2, n), n, np.uint16), np.full(n, k, np.uint16), np.zeros((3, n)))) for k, n in enumerate(sizes)]
+    rdd = boosting._dealt(spark.sparkContext.parallelize(named, 2), {name: len(b[1]) for name, b in named}, 30)
+    cores = spark.sparkContext.defaultParallelism
+    tasks = rdd.glom().map(lambda part: [(n.shape, sorted(set(c.tolist())), s.shape) for n, c, s in part]).collect()
+    assert len(tasks) == cores and all(len(t) <= 1 for t in tasks)  # small blocks are put together
+    assert sorted(k for t in tasks for _, own, _ in t for k in own) == list(range(9))
+    most = max(shape[1] for t in tasks for shape, *_ in t)
+    assert most <= max(900, sum(sizes) / cores + 500)
